@@ -12,6 +12,7 @@ SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 # times a small integer is exact.
 _SPLIT = float(2**27 + 1)
 _WHOLE = float(2**52)
+_LEAST = 5e-324
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -28,10 +29,11 @@ def round_half_even(value: Column, digits: int) -> Column:
     wide = mag * _SPLIT
     high_half = wide - (wide - mag)
     past_tie = (high_half * scale - (low + 0.5)) + (mag - high_half) * scale
-    up = (past_tie > 0) | ((past_tie == 0) & (low % 2 == 1))
-    rounded = (low + F.when(up, 1.0).otherwise(0.0)) / scale
-    exact = F.when(x < 0, -rounded).otherwise(rounded)
-    return F.when(mag * scale < _WHOLE, exact).otherwise(F.bround(x, digits))
+    # on the tie itself only an odd number goes up
+    up = past_tie >= F.when(low % 2 == 1, 0.0).otherwise(_LEAST)
+    sign = F.when(x < 0, -1.0).otherwise(1.0)
+    rounded = (low + up.cast("double")) / scale * sign
+    return F.when(mag * scale < _WHOLE, rounded).otherwise(F.bround(x, digits))
 
 
 def round_to_int(value: Column) -> Column:
@@ -40,10 +42,11 @@ def round_to_int(value: Column) -> Column:
 
 def format_size(size: Column) -> Column:
     """Bytes as text in the largest fitting unit, with one decimal."""
-    text = None
-    for power, unit in reversed(list(enumerate(SIZE_UNITS))):
-        scaled = size.cast("double") / float(1024**power)
-        # a whole number of tenths prints the same under any rounding rule
-        shown = F.format_string(f"%.1f {unit}", round_half_even(scaled, 1))
-        text = shown if text is None else F.when(scaled < 1024.0, shown).otherwise(text)
-    return F.when(size.isNotNull(), text)
+    unit, divisor = F.lit(SIZE_UNITS[-1]), F.lit(float(1024 ** (len(SIZE_UNITS) - 1)))
+    for power in reversed(range(len(SIZE_UNITS) - 1)):
+        fits = size < 1024 ** (power + 1)
+        unit = F.when(fits, SIZE_UNITS[power]).otherwise(unit)
+        divisor = F.when(fits, float(1024**power)).otherwise(divisor)
+    # a whole number of tenths prints the same under any rounding rule
+    shown = round_half_even(size.cast("double") / divisor, 1)
+    return F.when(size.isNotNull(), F.format_string("%.1f %s", shown, unit))
