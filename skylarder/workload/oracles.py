@@ -295,3 +295,13 @@ ORACLES["index_docs"] = """
 SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at,
   md5(event_id::VARCHAR || '|' || event_type || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S')) AS doc_id
 FROM events WHERE event_type <> 'purchase'"""
+
+ORACLES["stream_dedup"] = "SELECT DISTINCT user_id FROM events"
+
+ORACLES["stream_first_seen"] = """
+SELECT user_id, event_id, event_type
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1"""
+
+ORACLES["stream_throttle"] = f"SELECT event_id, user_id FROM ({ORACLES['throttle']})"
+
+ORACLES["stream_recommend"] = ORACLES["recommend"]

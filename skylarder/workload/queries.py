@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from skylarder import functions as fn
 from skylarder import operators as op
-from skylarder import plans
+from skylarder import plans, streaming
+from skylarder.session import shared_dir
 from skylarder.workload import inputs
 from skylarder.workload.inputs import table
 
@@ -546,3 +547,62 @@ def index_docs(spark, sf):
     doc_id = F.md5(F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "at"))
     existing = plans.index_docs(events.filter("event_type = 'purchase'"), doc_id=doc_id)
     return plans.index_docs(events.unionAll(events), existing, doc_id=doc_id)
+
+
+# --- streams: the table's files arrive, everything present is processed --------
+
+
+def _event_stream(spark, sf) -> DataFrame:
+    schema = table(spark, sf, "events").schema
+    stream = streaming.stream_files(spark, sf, schema, "parquet", pattern="events.parquet")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query
+def stream_dedup(spark, sf):
+    """Users seen, each once."""
+    base = shared_dir(spark, "stream-dedup")
+    users = streaming.dedup_within(_event_stream(spark, sf).select("user_id", "ts"), "user_id", "ts", "60 days")
+    streaming.to_files(users.select("user_id"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("user_id bigint").parquet(f"{base}/out")
+
+
+@query
+def stream_first_seen(spark, sf):
+    base = shared_dir(spark, "stream-first-seen")
+    streaming.first_seen(
+        _event_stream(spark, sf), "user_id", ["ts", "event_id"], f"{base}/out", f"{base}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "event_type")
+
+
+@query
+def stream_throttle(spark, sf):
+    base = shared_dir(spark, "stream-throttle")
+    streaming.throttle_stream(
+        _event_stream(spark, sf),
+        "user_id",
+        "ts",
+        THROTTLE_SECONDS,
+        "event_id",
+        f"{base}/out",
+        f"{base}/state",
+        f"{base}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id")
+
+
+@query
+def stream_recommend(spark, sf):
+    base = shared_dir(spark, "stream-recommend")
+    weather = inputs.observations(_event_stream(spark, sf), table(spark, sf, "customer"))
+    streaming.recommend_stream(
+        weather,
+        inputs.menu(spark, sf),
+        inputs.advice(spark, sf),
+        f"{base}/out",
+        f"{base}/checkpoint",
+        key="event_id",
+        seed=SEED,
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch")
