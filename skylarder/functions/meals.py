@@ -17,9 +17,13 @@ PLAIN_EXTRA = 15
 BASE_MINUTES, NAME_CYCLE = 20, 20
 UNNAMED_MINUTES = 30
 
-# What counts as white space at the ends of a step (Unicode white
-# space and the four separators U+001C..U+001F), the step limit and the joiner.
-WHITE = r"[\s\x1c-\x1f]"
+# The characters trimmed from the ends of a step (Unicode white
+# space and the separators U+001C..U+001F), the step limit and the joiner.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 MAX_STEPS = 10
 JOINER = "; "
 
@@ -32,27 +36,23 @@ def prep_time(name: Column) -> Column:
         return reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])
 
     base = F.length(name) % NAME_CYCLE + BASE_MINUTES
+    # the word checks come first so that the lowered name is computed once
     return (
-        F.when(F.coalesce(F.length(name), F.lit(0)) == 0, UNNAMED_MINUTES)
-        .when(mentions(SLOW_WORDS), F.least(base + SLOW_EXTRA, F.lit(SLOW_CEILING)))
+        F.when(mentions(SLOW_WORDS), F.least(base + SLOW_EXTRA, F.lit(SLOW_CEILING)))
         .when(mentions(QUICK_WORDS), F.greatest(base + QUICK_EXTRA, F.lit(QUICK_FLOOR)))
-        .otherwise(base + PLAIN_EXTRA)
+        .when(name != "", base + PLAIN_EXTRA)
+        .otherwise(UNNAMED_MINUTES)
     )
 
 
 def clean_steps(text: Column, max_steps: int = MAX_STEPS) -> Column:
     """The first non-blank lines of a text, trimmed and joined into one line.
 
-    Any run of white space with a newline in it is a step boundary, so one
-    replacement trims both sides and drops blank lines; the look-behind makes a
-    long run of blanks cost one attempt instead of one per character.
+    A carriage return before a line feed is trimmed like any white space.
     """
-    lines = F.regexp_replace(
-        text, rf"(?U)(?<!{WHITE})(?:(?!\n){WHITE})*+\n{WHITE}*+", "\n"
-    )
-    trimmed = F.regexp_replace(lines, rf"(?U)^{WHITE}++|(?<!{WHITE}){WHITE}++$", "")
-    kept = F.substring_index(trimmed, "\n", max_steps)
-    return F.coalesce(F.replace(kept, F.lit("\n"), F.lit(JOINER)), F.lit(""))
+    lines = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE)))
+    steps = F.slice(F.filter(lines, lambda line: line != ""), 1, max_steps)
+    return F.coalesce(F.array_join(steps, JOINER), F.lit(""))
 
 
 def wide_pairs(names: list[Column], amounts: list[Column]) -> Column:
@@ -60,8 +60,9 @@ def wide_pairs(names: list[Column], amounts: list[Column]) -> Column:
 
     A null amount leaves the bare name, an empty amount keeps the colon.
     """
+    empty, colon = F.lit(""), F.lit(": ")
     pairs = [
-        F.concat(F.nullif(n, F.lit("")), F.coalesce(F.concat(F.lit(": "), a), F.lit("")))
+        F.concat(F.nullif(n, empty), F.coalesce(F.concat(colon, a), empty))
         for n, a in zip(names, amounts, strict=True)
     ]
     return F.concat_ws(JOINER, *pairs)

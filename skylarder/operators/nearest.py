@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from skylarder.operators.numbering import position_within
 
+# below this many keys one level of cells will do
+FEW_KEYS = 64
 MIN_CELLS, MAX_CELLS = 256, 65_536
-SMALL_KNOTS = 100_000
+SMALL_KEYS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 
@@ -26,22 +28,23 @@ def nearest_join(
 ) -> DataFrame:
     """Add the ``value`` whose ``key`` is nearest to ``on``; ties go to the lowest ``pos``.
 
-    The key range is cut into equal cells, and each gap between neighbouring keys
-    is listed in the cells it touches. A row meets the lookup by equality on its
+    The key range is cut into cells, and each gap between neighbouring keys is
+    listed in the cells it touches. A row meets the lookup by equality on its
     cell and by lying in one gap, then takes the nearer end: every row matches
-    exactly once, without comparing it to the whole lookup. Rows with a null
+    exactly once, without being compared to the whole lookup. Rows with a null
     ``on`` get null. An empty lookup uses ``fallback``.
 
     The lookup is measured first (one aggregation). A small one is broadcast; for
-    a large one both the neighbours and the join are computed by shuffles.
+    a large one the neighbours and the join are computed by shuffles, where
+    adaptive execution splits hot cells.
     """
     # the first entry in file order stands for a repeated key
-    knots = (
+    keys = (
         lookup.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).cast("double").alias("k"))
         .agg(F.min_by(value, pos).alias("v"), F.min(pos).alias("p"))
     )
-    seen = knots.agg(
+    seen = keys.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("k").alias("lo"),
         F.max("k").alias("hi"),
@@ -52,48 +55,85 @@ def nearest_join(
     if seen.n == 0:
         return df.withColumn(name, fallback(x) if fallback else F.lit(None).cast("string"))
 
-    cells = min(max(MIN_CELLS, seen.n), MAX_CELLS)
-    per_unit = cells / (seen.hi - seen.lo) if seen.hi > seen.lo else 0.0
-
-    def cell(v: Column) -> Column:
-        return F.least(F.floor((v - seen.lo) * per_unit).cast("int"), F.lit(cells - 1))
-
-    gaps = _neighbours(knots, cell, seen.n).select(
-        "lo", "hi", F.explode(F.sequence(cell(F.col("lo.k")), cell(F.coalesce("hi.k", "lo.k")))).alias("cell")
-    )
-    row_bytes = 2 * ((seen.width or 0) + 48)
-    if seen.n <= SMALL_KNOTS and (seen.n + cells) * row_bytes <= BROADCAST_BYTES:
+    locate = _cells(keys, seen)
+    gaps = _gaps(locate(keys, F.col("k")), seen.n)
+    row_bytes = 2 * ((seen.width or 0) + 64)
+    if seen.n <= SMALL_KEYS and 3 * (seen.n + MIN_CELLS) * row_bytes <= BROADCAST_BYTES:
         gaps = F.broadcast(gaps)
 
     # outside the key range the outermost key is the nearest
     within = F.least(F.greatest(x, F.lit(seen.lo)), F.lit(seen.hi))
+    placed = locate(df.withColumn("__x", F.when(x.isNotNull(), within)), F.col("__x"))
     inside = (
-        (F.col("__cell") == F.col("cell"))
-        & (F.col("__x") >= F.col("lo.k"))
-        & (F.col("hi.k").isNull() | (F.col("__x") < F.col("hi.k")))
+        (F.col("__cell") == F.col("__at_cell"))
+        & (F.col("__part") == F.col("__at_part"))
+        & (F.col("__x") >= F.col("__lo.k"))
+        & (F.col("__hi.k").isNull() | (F.col("__x") < F.col("__hi.k")))
     )
-    below, above = F.col("__x") - F.col("lo.k"), F.col("hi.k") - F.col("__x")
-    upper = (above < below) | ((above == below) & (F.col("hi.p") < F.col("lo.p")))
+    below, above = F.col("__x") - F.col("__lo.k"), F.col("__hi.k") - F.col("__x")
+    upper = (above < below) | ((above == below) & (F.col("__hi.p") < F.col("__lo.p")))
     # every key is equally far from an infinite or undefined value
     endless = F.isnan(x) | (F.abs(x) == float("inf"))
     chosen = (
-        F.when(endless, F.lit(seen.first_value)).when(upper, F.col("hi.v")).otherwise(F.col("lo.v"))
+        F.when(endless, F.lit(seen.first_value)).when(upper, F.col("__hi.v")).otherwise(F.col("__lo.v"))
     )
-    return (
-        df.withColumn("__x", F.when(x.isNotNull(), within))
-        .withColumn("__cell", cell(F.col("__x")))
-        .join(gaps, inside, "left")
-        .withColumn(name, chosen)
-        .drop("__x", "__cell", "cell", "lo", "hi")
+    joined = placed.join(gaps, inside, "left").withColumn(name, chosen)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
+
+
+def _cells(keys: DataFrame, seen) -> Callable[[DataFrame, Column], DataFrame]:
+    """How to add the cell of a value within the key range, as ``__cell`` and ``__part``.
+
+    Cells are equally wide. Where keys crowd together a cell is cut again into
+    as many parts as it has keys, so that an outlying key does not push all
+    others into one cell. The cells with keys are at most MAX_CELLS rows.
+    """
+    cells = min(max(MIN_CELLS, seen.n), MAX_CELLS)
+    per_unit = cells / (seen.hi - seen.lo) if seen.hi > seen.lo else 0.0
+
+    def cell(v: Column) -> Column:
+        return F.least(F.floor((v - seen.lo) * per_unit).cast("int"), F.lit(cells - 1))
+
+    if seen.n <= FEW_KEYS:
+        return lambda df, v: df.withColumns({"__cell": cell(v), "__part": F.lit(0)})
+
+    filled = keys.groupBy(cell(F.col("k")).alias("__c")).agg(
+        F.count(F.lit(1)).cast("int").alias("__m"), F.min("k").alias("__from"), F.max("k").alias("__to")
     )
 
+    def locate(df: DataFrame, v: Column) -> DataFrame:
+        parts = F.floor((v - F.col("__from")) / (F.col("__to") - F.col("__from")) * F.col("__m")).cast("int")
+        part = (
+            F.when(F.col("__c").isNull() | (v <= F.col("__from")), 0)
+            .when(v >= F.col("__to"), F.col("__m") - 1)
+            .otherwise(F.least(parts, F.col("__m") - 1))
+        )
+        celled = df.withColumn("__cell", cell(v))
+        joined = celled.join(F.broadcast(filled), F.col("__cell") == F.col("__c"), "left")
+        return joined.withColumn("__part", part).drop("__c", "__m", "__from", "__to")
+
+    return locate
 
-def _neighbours(knots: DataFrame, cell: Callable[[Column], Column], n: int) -> DataFrame:
-    """Each key with the next one: (lo, hi), hi null for the last key."""
-    knot = F.struct("k", "v", "p")
-    if n <= SMALL_KNOTS:
-        return knots.select(knot.alias("lo"), F.lead(knot).over(Window.orderBy("k")).alias("hi"))
-    numbered = position_within(knots, bucket=cell(F.col("k")), order=[F.col("k")], name="i")
-    lo = numbered.select(F.col("i").alias("lo_i"), knot.alias("lo"))
-    hi = numbered.select((F.col("i") - 1).alias("hi_i"), knot.alias("hi"))
-    return lo.join(hi, F.col("lo_i") == F.col("hi_i"), "left").select("lo", "hi")
+
+def _gaps(keys: DataFrame, n: int) -> DataFrame:
+    """Each gap (lo, hi) between neighbours with every cell it touches; the last has no hi."""
+    knot = F.struct("k", "v", "p", F.col("__cell").alias("c"), F.col("__part").alias("f"))
+    if n <= SMALL_KEYS:
+        pairs = keys.select(knot.alias("lo"), F.lead(knot).over(Window.orderBy("k")).alias("hi"))
+    else:
+        numbered = position_within(keys, bucket=F.col("__cell"), order=[F.col("k")], name="i")
+        lo = numbered.select(F.col("i").alias("lo_i"), knot.alias("lo"))
+        hi = numbered.select((F.col("i") - 1).alias("hi_i"), knot.alias("hi"))
+        pairs = lo.join(hi, F.col("lo_i") == F.col("hi_i"), "left")
+    end = F.coalesce("hi", "lo")
+    spread = pairs.select("lo", "hi", F.explode(F.sequence("lo.c", end["c"])).alias("__at_cell"))
+    # only the two outer cells hold keys: the gap leaves the first from its last
+    # part, crosses cells without parts, and enters the last at its first part
+    first = F.when(F.col("__at_cell") == F.col("lo.c"), F.col("lo.f")).otherwise(0)
+    last = F.when(F.col("__at_cell") == end["c"], end["f"]).otherwise(first)
+    return spread.select(
+        F.col("lo").alias("__lo"),
+        F.col("hi").alias("__hi"),
+        "__at_cell",
+        F.explode(F.sequence(first, last)).alias("__at_part"),
+    )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylarder.operators.numbering import position_within
-from skylarder.operators.sizing import broadcast_if, measure
+from skylarder.operators.sizing import fits, measure
 
 # hex digits of an md5 used as a number: 60 bits, far above any number of choices
 _DIGITS = 15
@@ -26,19 +26,29 @@ def random_pick(
 ) -> DataFrame:
     """Add one row of ``choices``, as a struct, chosen uniformly by a hash of ``key``.
 
-    The choices are numbered in md5 order of their own key, 4096 slices at a
-    time, and met by equality on that number. Without choices the struct is null.
+    The choices are numbered in md5 order of their own key and met by equality on
+    that number. They are measured first (one aggregation): few choices are
+    numbered in one task and broadcast; many are numbered in 4096 parallel slices
+    and met by a shuffle, which is even because the numbers are hashes. Without
+    choices the struct is null.
     """
+    columns = [F.col(f"`{c}`") for c in choices.columns]
     n, size = measure(choices)
-    columns = choices.columns
-    tag = F.md5(F.col(choice_key).cast("string"))
-    numbered = position_within(
-        choices, bucket=F.substring(tag, 1, 3), order=[tag, F.col(choice_key)], name="__pos"
-    ).select("__pos", F.struct(*columns).alias(name))
     if n == 0:
-        return df.withColumn(name, F.lit(None).cast(numbered.schema[name].dataType))
+        kind = choices.select(F.struct(*columns).alias(name)).schema[name].dataType
+        return df.withColumn(name, F.lit(None).cast(kind))
+
+    tag = F.md5(F.col(choice_key).cast("string"))
+    order = [tag, F.col(choice_key)]
+    if fits(n, size):
+        position = F.row_number().over(Window.orderBy(*order)) - 1
+        numbered = F.broadcast(choices.select(position.alias("__pos"), F.struct(*columns).alias(name)))
+    else:
+        placed = position_within(choices, F.substring(tag, 1, 3), order, name="__pos")
+        numbered = placed.select("__pos", F.struct(*columns).alias(name))
+
     slot = hash_number(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed))) % F.lit(n)
     joined = df.withColumn("__slot", slot).join(
-        broadcast_if(numbered, n, size), F.col("__slot") == F.col("__pos"), "left"
+        numbered, F.col("__slot") == F.col("__pos"), "left"
     )
     return joined.drop("__slot", "__pos")

@@ -1,4 +1,4 @@
-"""Size checks in front of a broadcast."""
+"""Size checks in front of a broadcast or a single sorting task."""
 
 from __future__ import annotations
 
@@ -16,10 +16,5 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return size.n, size.b or 0
 
 
-def broadcast_if(df: DataFrame, rows: int, size: int) -> DataFrame:
-    """Hint a broadcast only if the measured size is within the bounds.
-
-    Beyond them the plan is left as it is: the join shuffles, and adaptive
-    execution splits skewed partitions.
-    """
-    return F.broadcast(df) if rows <= MAX_ROWS and size <= MAX_BYTES else df
+def fits(rows: int, size: int) -> bool:
+    return rows <= MAX_ROWS and size <= MAX_BYTES

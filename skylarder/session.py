@@ -19,6 +19,8 @@ def get_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSessi
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # no call-site capture per column: plans here have hundreds of columns
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         **(conf or {}),
     }

@@ -21,15 +21,23 @@ def lookup_of(spark, entries):
     return spark.createDataFrame(rows, "k double, v string, pos int")
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_nearest_equals_brute_force(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(nearest, "SMALL_KNOTS", 3)
+@pytest.mark.parametrize(("small", "few"), [(100_000, 64), (100_000, 2), (3, 2)])
+def test_nearest_equals_brute_force(spark, monkeypatch, small, few):
+    monkeypatch.setattr(nearest, "SMALL_KEYS", small)
+    monkeypatch.setattr(nearest, "FEW_KEYS", few)
     rng = random.Random(5)
-    for keys in ([20, 21, -3, 5, 20, 30, 5, 43], [7], [7, 7, 7], [0, 1000, 1001, 1002]):
+    crowded = [rng.randrange(1000) / 8 for _ in range(120)]
+    for keys in (
+        [20, 21, -3, 5, 20, 30, 5, 43],
+        [7],
+        [7, 7, 7],
+        [0, 1000, 1001, 1002],
+        crowded + [1e6],
+        crowded + [-1e9, 500.0, 501.0],
+    ):
         entries = [(float(k), f"advice {i}") for i, k in enumerate(rng.sample(keys, len(keys)))]
         temps = [None, 0.0, -0.5, 20.5, 12.5, 25.0, -1e6, 1e6, float("inf"), float("-inf"), float("nan")]
-        temps += [rng.choice(keys) + rng.choice([-0.5, 0.0, 0.5]) for _ in range(100)]
+        temps += [rng.choice(keys) + rng.choice([-0.5, 0.0, 0.5, 1 / 16]) for _ in range(150)]
         temps += [rng.uniform(-50, 1100) for _ in range(100)]
         df = spark.createDataFrame([(i, t) for i, t in enumerate(temps)], "i int, t double")
         got = op.nearest_join(df, lookup_of(spark, entries), "t", "k", "pos", "v", "out").collect()
@@ -37,6 +45,16 @@ def test_nearest_equals_brute_force(spark, monkeypatch, small):
         assert {r.i: r.out for r in got} == {i: nearest_model(t, entries) for i, t in enumerate(temps)}
 
 
+def test_nearest_cuts_crowded_cells_again(spark):
+    """With one key far out, all others share a cell; the join still tells them apart."""
+    keys = spark.range(5000).select(F.col("id").cast("double").alias("k"))
+    keys = keys.union(spark.sql("select 1e12D")).select("k", F.lit("v").alias("v"), F.col("k").alias("p"))
+    seen = keys.agg(F.count("k").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).first()
+    gaps = nearest._gaps(nearest._cells(keys, seen)(keys, F.col("k")), seen.n)
+    per_cell = gaps.groupBy("__at_cell", "__at_part").count().agg(F.max("count")).first()[0]
+    assert per_cell <= 3
+
+
 def test_nearest_tie_goes_to_the_earlier_line_not_the_lower_key(spark):
     df = spark.createDataFrame([(20.5,)], "t double")
     for entries in ([(20.0, "a"), (21.0, "b")], [(21.0, "b"), (20.0, "a")]):
@@ -85,12 +103,15 @@ def test_random_pick_without_choices(spark):
     assert [r.pick for r in none.collect()] == [None] * 3
 
 
-def test_broadcast_only_within_bounds(spark, monkeypatch):
-    small = spark.range(10)
-    hinted = lambda df: "UnresolvedHint" in df._jdf.queryExecution().logical().toString()
-    assert hinted(sizing.broadcast_if(small, *sizing.measure(small)))
-    monkeypatch.setattr(sizing, "MAX_ROWS", 9)
-    assert not hinted(sizing.broadcast_if(small, *sizing.measure(small)))
+def test_random_pick_is_the_same_beyond_the_broadcast_bound(spark, monkeypatch):
+    df = spark.range(2000).withColumnRenamed("id", "key")
+    choices = spark.range(300).select(F.col("id").alias("c"), F.lit("x").alias("v"))
+    small = sorted(op.random_pick(df, choices, "key", "c").collect())
+    monkeypatch.setattr(sizing, "MAX_ROWS", 299)
+    large = op.random_pick(df, choices, "key", "c")
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    assert sorted(large.collect()) == small
+    assert sizing.measure(choices) == (300, sum(len(f'{{"c":{i},"v":"x"}}') for i in range(300)))
 
 
 def test_enrich_place_keeps_rows_one_to_one(spark):
