@@ -1,6 +1,7 @@
 """Writers: snapshots, JSON documents, mirrors and the index dataset."""
 
 from skylarder.sinks.writers import (
+    append_rows,
     as_envelopes,
     as_jsonl,
     mirror_snapshot,
@@ -8,4 +9,11 @@ from skylarder.sinks.writers import (
     write_snapshot,
 )
 
-__all__ = ["as_envelopes", "as_jsonl", "mirror_snapshot", "write_index", "write_snapshot"]
+__all__ = [
+    "append_rows",
+    "as_envelopes",
+    "as_jsonl",
+    "mirror_snapshot",
+    "write_index",
+    "write_snapshot",
+]

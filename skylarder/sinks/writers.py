@@ -42,6 +42,11 @@ def write_snapshot(
     return path
 
 
+def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to a Parquet dataset, for analysis over many runs."""
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def as_envelopes(df: DataFrame) -> DataFrame:
     """Each row as one indented JSON document; write with ``maxRecordsPerFile=1``."""
     document = F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})

@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from skylarder.operators import nearest_join
 from skylarder.plans.run import Lake, run_once
 from skylarder.schemas import MEAL_COLUMNS, RAW_MEALS
-from skylarder.sinks import as_envelopes, as_jsonl, mirror_snapshot, write_index, write_snapshot
+from skylarder.sinks import (
+    append_rows,
+    as_envelopes,
+    as_jsonl,
+    mirror_snapshot,
+    write_index,
+    write_snapshot,
+)
 from skylarder.sources import (
     is_fresh,
     latest_stamp,
@@ -152,6 +159,14 @@ def test_index_grows_only_by_new_documents(spark, tmp_path):
     assert spark.read.parquet(index).count() == 3
 
 
+def test_append_rows(spark, tmp_path):
+    path = str(tmp_path / "analytics")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "x int, day string")
+    append_rows(rows, path, ["day"])
+    append_rows(rows, path, ["day"])
+    assert spark.read.parquet(path).filter("day = 'a'").count() == 2
+
+
 @pytest.fixture
 def lake(tmp_path):
     root = tmp_path / "lake"
