@@ -8,8 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_GAPS = 30
+# a block of time of one key
+GROUP = ["void", "k", "block"]
 # stands for "no time"; sorts before every time
 NONE = -(2**62)
 
@@ -42,58 +45,67 @@ def throttle(
     A hot key is therefore spread over as many tasks as it has blocks.
     """
     gap = round(gap_seconds * 1_000_000)
-    width = gap * block_gaps
-    label = _label(key)
     micros = F.unix_micros(F.col(at).cast("timestamp"))
+    kind, label = _label(df, key)
     # rows of the same instant are reduced before the shuffle
     ticks = (
-        df.select(label, micros.alias("t"), F.col(row_id).alias("id"))
+        df.select(*label, micros.alias("t"), F.col(row_id).alias("id"))
         .filter("t is not null")
-        .groupBy("k", "t")
+        .groupBy("void", "k", "t")
         .agg(F.min("id").alias("id"))
+        .withColumn("block", F.floor(F.col("t") / F.lit(gap * block_gaps)))
     )
-    block = F.floor(F.col("t") / F.lit(width)).alias("block")
 
-    steps = _sorted_groups(ticks.select("k", block, "t"), "t").mapInPandas(
+    group = f"void boolean, k {kind}, block bigint"
+    steps = _sorted_groups(ticks.select(*GROUP, "t"), "t").mapInPandas(
         lambda frames: (_block_steps(f, gap) for f in _whole_groups(frames)),
-        "k string, block bigint, upto bigint, leaves bigint",
+        f"{group}, opens bigint, upto bigint, leaves bigint",
     )
     if last_kept is not None:
-        earlier = last_kept.select(label, micros.alias("leaves")).selectExpr(
-            "k", f"{NONE} as block", f"{NONE} as upto", "leaves"
+        earlier = last_kept.select(*label, micros.alias("leaves")).selectExpr(
+            "void", "k", f"{NONE} as block", f"{NONE} as opens", f"{NONE} as upto", "leaves"
         )
         steps = steps.union(earlier)
-    incoming = steps.repartition("k").sortWithinPartitions("k", "block", "upto").mapInPandas(
-        lambda frames: _follow(_whole_groups(frames), gap),
-        "k string, block bigint, last bigint",
+    incoming = (
+        steps.repartition("void", "k")
+        .sortWithinPartitions(*GROUP, "upto")
+        .mapInPandas(
+            lambda frames: _follow(_whole_groups(frames), gap), f"{group}, last bigint"
+        )
     )
 
     # the incoming time travels as the first row of its block
-    blocks = ticks.select("k", block, "t", F.lit(NONE).alias("last")).union(
-        incoming.select("k", "block", F.lit(NONE).alias("t"), "last")
+    id_kind = ticks.schema["id"].dataType
+    blocks = ticks.select(*GROUP, "t", F.lit(NONE).alias("last"), "id").union(
+        incoming.select(*GROUP, F.lit(NONE).alias("t"), "last", F.lit(0).cast(id_kind))
     )
     kept = _sorted_groups(blocks, "t").mapInPandas(
-        lambda frames: (_walk(f, gap) for f in _whole_groups(frames)), "k string, t bigint"
+        lambda frames: (_walk(f, gap) for f in _whole_groups(frames)),
+        f"__kept {id_kind.simpleString()}",
     )
-    kept_ids = ticks.join(kept, ["k", "t"]).select(F.col("id").alias("__kept"))
-    return df.join(kept_ids, F.col(row_id) == F.col("__kept"), "left_semi")
+    return df.join(kept, F.col(row_id) == F.col("__kept"), "left_semi")
 
 
 def _sorted_groups(df: DataFrame, order: str) -> DataFrame:
-    return df.repartition("k", "block").sortWithinPartitions("k", "block", order)
+    return df.repartition(*GROUP).sortWithinPartitions(*GROUP, order)
 
 
-def _label(key: str) -> Column:
-    """Any key as text, with null apart from every value."""
+def _label(df: DataFrame, key: str) -> tuple[str, list[Column]]:
+    """A key of any type as a number or a text without nulls, and whether it is null."""
     value = F.col(key)
-    return F.when(value.isNull(), "0").otherwise(F.concat(F.lit("1"), value.cast("string"))).alias("k")
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    kind, blank = ("bigint", F.lit(0)) if whole else ("string", F.lit(""))
+    label = F.coalesce(value.cast(kind), blank).cast(kind)
+    return kind, [value.isNull().alias("void"), label.alias("k")]
 
 
 def _starts(frame: pd.DataFrame) -> np.ndarray:
-    """Whether each row opens a group, that is a (k, block) pair."""
-    first = np.ones(len(frame), dtype=bool)
-    k, block = frame["k"].to_numpy(), frame["block"].to_numpy()
-    first[1:] = (k[1:] != k[:-1]) | (block[1:] != block[:-1])
+    """Whether each row opens a group."""
+    first = np.zeros(len(frame), dtype=bool)
+    first[0] = True
+    for name in GROUP:
+        column = frame[name].to_numpy()
+        first[1:] |= column[1:] != column[:-1]
     return first
 
 
@@ -105,7 +117,7 @@ def _whole_groups(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         if held:
             tail, head = held[-1].iloc[-1], frame.iloc[0]
-            if tail["k"] != head["k"] or tail["block"] != head["block"]:
+            if any(tail[name] != head[name] for name in GROUP):
                 yield pd.concat(held, ignore_index=True)
                 held = []
         opens = int(np.flatnonzero(_starts(frame))[-1])
@@ -147,35 +159,41 @@ def _block_steps(frame: pd.DataFrame, gap: int) -> pd.DataFrame:
     change = np.ones(len(rows), dtype=bool)
     change[:-1] = (end[rows[1:]] != end[rows[:-1]]) | (group[rows[1:]] != group[rows[:-1]])
     rows = rows[change]
-    steps = frame.iloc[rows][["k", "block"]].reset_index(drop=True)
-    return steps.assign(upto=t[rows], leaves=t[end[rows]])
+    steps = frame.iloc[rows][GROUP].reset_index(drop=True)
+    opens = t[first][group[rows]]
+    return steps.assign(opens=opens, upto=t[rows], leaves=t[end[rows]])
 
 
 def _follow(frames: Iterable[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
-    """The last kept time before each block, carried from block to block of a key."""
+    """The last kept time before each block, carried from block to block of a key.
+
+    A block that opens a gap or more after every outcome of the block before it
+    starts afresh; only the others are followed one by one.
+    """
     key, last = None, NONE
     for frame in frames:
         starts = np.flatnonzero(_starts(frame))
         stops = np.append(starts[1:], len(frame))
-        keys, blocks = frame["k"].to_numpy()[starts], frame["block"].to_numpy()[starts]
+        heads = frame.iloc[starts][[*GROUP, "opens"]]
         upto, leaves = frame["upto"].to_numpy(), frame["leaves"].to_numpy()
-        before = np.empty(len(starts), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(starts, stops)):
-            if keys[i] != key:
-                key, last = keys[i], NONE
-            before[i] = last
-            if blocks[i] == NONE:
-                last = leaves[a:b].max()
-                continue
-            step = a if last == NONE else a + np.searchsorted(upto[a:b], last + gap)
-            if step < b:
-                last = leaves[step]
-        real = blocks != NONE
-        yield pd.DataFrame({"k": keys[real], "block": blocks[real], "last": before[real]})
+        latest = np.maximum.reduceat(leaves, starts)
+        void, keys, blocks = (heads[name].to_numpy() for name in GROUP)
+        linked = np.empty(len(starts), dtype=bool)
+        linked[0] = (void[0], keys[0]) == key
+        linked[1:] = (keys[1:] == keys[:-1]) & (void[1:] == void[:-1])
+        linked[1:] &= heads["opens"].to_numpy()[1:] - latest[:-1] < gap
+        before = np.full(len(starts), NONE)
+        after = np.where(blocks == NONE, latest, leaves[starts])
+        for i in np.flatnonzero(linked):
+            before[i] = after[i - 1] if i else last
+            step = starts[i] + np.searchsorted(upto[starts[i] : stops[i]], before[i] + gap)
+            after[i] = leaves[step] if step < stops[i] else before[i]
+        key, last = (void[-1], keys[-1]), after[-1]
+        yield heads.assign(last=before).loc[blocks != NONE, [*GROUP, "last"]]
 
 
 def _walk(frame: pd.DataFrame, gap: int) -> pd.DataFrame:
-    """The times kept in each block, from the incoming time in its first row."""
+    """The rows kept in each block, from the incoming time in its first row."""
     head = _starts(frame)
     last = frame["last"].to_numpy()[head]
     first = np.roll(head, 1)[~head]
@@ -190,4 +208,4 @@ def _walk(frame: pd.DataFrame, gap: int) -> pd.DataFrame:
     while len(at):
         kept[at] = True
         at = hop[at][hop[at] != at]
-    return rows.loc[kept, ["k", "t"]]
+    return rows.loc[kept, ["id"]].rename(columns={"id": "__kept"})
