@@ -29,7 +29,8 @@ def throttle(
     """Per key, in time order, skip rows younger than the gap since the last kept row.
 
     ``row_id`` is unique; among rows of the same instant the lowest one stands.
-    ``last_kept`` (columns key and ``at``) carries the outcome of earlier data.
+    ``last_kept`` (columns key and ``at``) carries the outcome of earlier data; rows
+    less than a gap after it, or before it, are skipped.
 
     Which rows are kept depends on all earlier ones, but a block of time depends
     on its past only through one number, the last kept time before it. So time is
@@ -47,11 +48,14 @@ def throttle(
     gap = round(gap_seconds * 1_000_000)
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     kind, label = _label(df, key)
+    rows = df.select(*label, micros.alias("t"), F.col(row_id).alias("id")).filter("t is not null")
+    if last_kept is not None:
+        earlier = last_kept.select(*label, micros.alias("last")).groupBy("void", "k")
+        rows = rows.join(earlier.agg(F.max("last").alias("last")), ["void", "k"], "left")
+        rows = rows.filter(F.col("last").isNull() | (F.col("t") - F.col("last") >= gap))
     # rows of the same instant are reduced before the shuffle
     ticks = (
-        df.select(*label, micros.alias("t"), F.col(row_id).alias("id"))
-        .filter("t is not null")
-        .groupBy("void", "k", "t")
+        rows.groupBy("void", "k", "t")
         .agg(F.min("id").alias("id"))
         .withColumn("block", F.floor(F.col("t") / F.lit(gap * block_gaps)))
     )
@@ -61,11 +65,6 @@ def throttle(
         lambda frames: (_block_steps(f, gap) for f in _whole_groups(frames)),
         f"{group}, opens bigint, upto bigint, leaves bigint",
     )
-    if last_kept is not None:
-        earlier = last_kept.select(*label, micros.alias("leaves")).selectExpr(
-            "void", "k", f"{NONE} as block", f"{NONE} as opens", f"{NONE} as upto", "leaves"
-        )
-        steps = steps.union(earlier)
     incoming = (
         steps.repartition("void", "k")
         .sortWithinPartitions(*GROUP, "upto")
@@ -177,19 +176,19 @@ def _follow(frames: Iterable[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
         heads = frame.iloc[starts][[*GROUP, "opens"]]
         upto, leaves = frame["upto"].to_numpy(), frame["leaves"].to_numpy()
         latest = np.maximum.reduceat(leaves, starts)
-        void, keys, blocks = (heads[name].to_numpy() for name in GROUP)
+        void, keys = heads["void"].to_numpy(), heads["k"].to_numpy()
         linked = np.empty(len(starts), dtype=bool)
         linked[0] = (void[0], keys[0]) == key
         linked[1:] = (keys[1:] == keys[:-1]) & (void[1:] == void[:-1])
         linked[1:] &= heads["opens"].to_numpy()[1:] - latest[:-1] < gap
         before = np.full(len(starts), NONE)
-        after = np.where(blocks == NONE, latest, leaves[starts])
+        after = leaves[starts]
         for i in np.flatnonzero(linked):
             before[i] = after[i - 1] if i else last
             step = starts[i] + np.searchsorted(upto[starts[i] : stops[i]], before[i] + gap)
             after[i] = leaves[step] if step < stops[i] else before[i]
         key, last = (void[-1], keys[-1]), after[-1]
-        yield heads.assign(last=before).loc[blocks != NONE, [*GROUP, "last"]]
+        yield heads.assign(last=before)[[*GROUP, "last"]]
 
 
 def _walk(frame: pd.DataFrame, gap: int) -> pd.DataFrame:

@@ -6,6 +6,7 @@ from skylarder.streaming.jobs import (
     dedup_within,
     each_batch,
     first_seen,
+    lake_stream,
     recommend_stream,
     stream_files,
     throttle_stream,
@@ -18,6 +19,7 @@ __all__ = [
     "dedup_within",
     "each_batch",
     "first_seen",
+    "lake_stream",
     "recommend_stream",
     "stream_files",
     "throttle_stream",

@@ -13,7 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from skylarder.operators.dedup import dedup_first
 from skylarder.operators.throttle import throttle
 from skylarder.plans.merge import recommend
-from skylarder.sources.readers import or_empty
+from skylarder.plans.run import Lake
+from skylarder.plans.weather import format_weather, normalise_weather, temperature_series
+from skylarder.schemas import FORMATTED_MEALS, WEATHER_RESPONSE
+from skylarder.sinks.writers import write_index
+from skylarder.sources.readers import or_empty, read_advice, read_geo
+from skylarder.sources.snapshots import read_snapshot
 
 # Triggers: the cadence of the lake, or everything that has arrived and then stop.
 EVERY_MINUTE = {"processingTime": "1 minute"}
@@ -145,3 +150,30 @@ def recommend_stream(
         served.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return each_batch(weather, step, checkpoint, trigger)
+
+
+def lake_stream(
+    spark: SparkSession,
+    lake: Lake,
+    checkpoint: str,
+    trigger: dict = EVERY_MINUTE,
+    seed: str = "",
+    **options,
+) -> StreamingQuery:
+    """Responses of a lake, as they land, through to its index.
+
+    Each batch is normalised, named, unrolled, met with the latest meals and the
+    advice, and indexed. The index takes a document once, so a batch that runs
+    again after a failure adds nothing.
+    """
+    arriving = stream_files(spark, lake.responses, WEATHER_RESPONSE, "json", **options)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        normal = normalise_weather(batch)
+        weather = format_weather(normal, read_geo(spark, lake.geo))
+        write_index(temperature_series(weather), lake.temperature_index)
+        meals = read_snapshot(spark, lake.formatted_meals, "formatted_meals", FORMATTED_MEALS)
+        served = recommend(weather, meals, read_advice(spark, lake.advice), seed=seed)
+        write_index(served, lake.enhanced_index)
+
+    return each_batch(arriving, step, checkpoint, trigger)

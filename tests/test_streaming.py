@@ -1,13 +1,18 @@
 """Streams give what the batch jobs give, over several batches and restarts."""
 
+import json
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 
 from skylarder import streaming
 from skylarder.operators import throttle
 from skylarder.plans import recommend
+from skylarder.plans.run import Lake
+from skylarder.schemas import FORMATTED_MEALS
+from skylarder.sinks import write_snapshot
 from skylarder.workload import inputs
 
 SCHEMA = "id bigint, key string, at timestamp"
@@ -110,3 +115,45 @@ def test_recommend_stream_equals_batch(spark, base, small_tables):
     want = recommend(inputs.observations(events, customers), meals, advice, key="event_id")
     got = spark.read.parquet(f"{base}/out").drop("batch")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_lake_stream_over_batches_and_restart(spark, base):
+    root = Path(base) / "lake"
+    for folder in ("landing/weather", "advice", "geo"):
+        (root / folder).mkdir(parents=True)
+    (root / "advice/a.csv").write_text("temperature;advice\n20;stroll\n21;swim\n")
+    (root / "geo/g.json").write_text(json.dumps({"lat": 1.0, "lon": 2.0, "town": "T", "country": "C"}))
+    lake = Lake(str(root))
+    meals = [("1", "pie", "c", "r", "i", "s", 40, "u", None, None)]
+    write_snapshot(spark.createDataFrame(meals, FORMATTED_MEALS), lake.formatted_meals, "formatted_meals", START)
+
+    def land(n):
+        response = {
+            "latitude": 1.0, "longitude": 2.0, "elevation": 3.0, "timezone": "UTC",
+            "current_time": 1704067200 + n * 60, "current_values": [20.5 + n, 50.0, 1.0],
+            "hourly_start": 1704067200, "hourly_end": 1704070800 + n * 3600, "hourly_interval": 3600,
+            "hourly_values": [1.0] * (n + 1), "daily_start": 0, "daily_end": 0,
+            "daily_interval": 86400, "daily_values": [],
+        }
+        (root / f"landing/weather/{n}.json").write_text(json.dumps(response))
+
+    def run():
+        streaming.lake_stream(
+            spark, lake, f"{base}/cp", streaming.AVAILABLE, maxFilesPerTrigger=1
+        ).awaitTermination()
+
+    land(0)
+    land(1)
+    run()
+    land(2)
+    run()
+    run()
+    # hours overlap between responses and are indexed once
+    assert spark.read.parquet(lake.temperature_index).count() == 3
+    served = spark.read.parquet(lake.enhanced_index).orderBy("current_temperature").collect()
+    assert [r.recommended_advice for r in served] == ["stroll", "swim", "swim"]
+    assert {r.suggested_meal for r in served} == {"pie"} and {r.location for r in served} == {"T, C"}
+    # a lost checkpoint replays every file, and the index stays as it is
+    streaming.lake_stream(spark, lake, f"{base}/cp-new", streaming.AVAILABLE).awaitTermination()
+    assert spark.read.parquet(lake.temperature_index).count() == 3
+    assert spark.read.parquet(lake.enhanced_index).count() == 3

@@ -1,14 +1,21 @@
 """Throttling against a plain loop, across keys, densities, block and batch sizes."""
 
+import importlib
 import random
 import re
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skylarder.operators import throttle
 
+steps = importlib.import_module("skylarder.operators.throttle")
+
 START = datetime(2024, 1, 1)
 
 
@@ -51,6 +58,37 @@ def test_equals_greedy_loop(spark, n, span, resolution, gap, block_gaps):
     assert run(spark, rows, gap, block_gaps=block_gaps) == greedy(rows, gap)[0]
 
 
+def solve(times, gap, block, batch):
+    """The three steps for one key, as the tasks run them, without Spark."""
+    rows = pd.DataFrame({"void": False, "k": 1, "block": np.array(times) // block, "t": times})
+
+    def cut(frame):
+        return [frame.iloc[i : i + batch].reset_index(drop=True) for i in range(0, len(frame), batch)]
+
+    groups = steps._whole_groups
+    found = pd.concat([steps._block_steps(f, gap) for f in groups(cut(rows))])
+    incoming = pd.concat(list(steps._follow(groups(cut(found)), gap)))
+    marked = pd.concat([rows.assign(last=steps.NONE, id=rows["t"]), incoming.assign(t=steps.NONE, id=0)])
+    marked = marked.sort_values(["block", "t"])
+    return sorted(pd.concat([steps._walk(f, gap) for f in groups(cut(marked))])["__kept"])
+
+
+@given(
+    st.lists(st.integers(0, 300), min_size=1, max_size=120, unique=True),
+    st.integers(1, 40),
+    st.integers(1, 5),
+    st.integers(1, 50),
+)
+@settings(max_examples=400, deadline=None)
+def test_steps_equal_greedy_loop(times, gap, gaps_per_block, batch):
+    kept, at = [], None
+    for t in sorted(times):
+        if at is None or t - at >= gap:
+            kept.append(t)
+            at = t
+    assert solve(sorted(times), gap, gap * gaps_per_block, batch) == kept
+
+
 def test_whole_number_keys_and_text_ids(spark):
     rows = [(f"{i:05}", None if k == "b" else len(k or ""), at) for i, k, at in sample(12, 1500, 20_000)]
     df = spark.createDataFrame(rows, "id string, key int, at timestamp")
@@ -83,8 +121,9 @@ def test_earlier_outcome_carries_over(spark):
 
 def test_rows_older_than_the_last_kept_are_skipped(spark):
     state = spark.createDataFrame([("k", START)], "key string, at timestamp")
-    rows = [(1, "k", START - timedelta(hours=5)), (2, "k", START + timedelta(seconds=120))]
-    assert run(spark, rows, 120, last_kept=state) == [2]
+    seconds = [-18_000, -60, 0, 30, 119, 120, 200, 239, 241, 400]
+    rows = [(i, "k", START + timedelta(seconds=s)) for i, s in enumerate(seconds)]
+    assert run(spark, rows + [(99, None, START)], 120, last_kept=state) == [5, 8, 9, 99]
 
 
 def test_rows_are_placed_by_key_and_block(spark):
