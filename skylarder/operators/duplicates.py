@@ -38,7 +38,7 @@ def duplicate_examples(
     then its rows are selected by a semi join with that single row.
     """
     pattern = _pattern(df, [*exclude, at])
-    first_seen = F.min(F.struct(*order))
+    first_seen = F.min(F.struct(*order) if len(order) > 1 else order[0])
     repeated = df.groupBy(*pattern).agg(F.count(F.lit(1)).alias("times"), first_seen.alias("first"))
     found = repeated.filter("times > 1").orderBy("first").limit(1).select(
         fingerprint(pattern).alias("fingerprint"), "times", F.struct(*pattern).alias("__pattern")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylarder.operators.numbering import position_within
+from skylarder.session import shared_dir
 
 # below this many keys one level of cells will do
 FEW_KEYS = 64
@@ -55,6 +56,11 @@ def nearest_join(
     if seen.n == 0:
         return df.withColumn(name, fallback(x) if fallback else F.lit(None).cast("string"))
 
+    if seen.n > SMALL_KEYS:
+        # used several times below: compute the reduced lookup once
+        path = shared_dir(df.sparkSession, "nearest-keys")
+        keys.write.parquet(path)
+        keys = df.sparkSession.read.parquet(path)
     locate = _cells(keys, seen)
     gaps = _gaps(locate(keys, F.col("k")), seen.n)
     row_bytes = 2 * ((seen.width or 0) + 64)

@@ -61,7 +61,8 @@ def throttle(
     )
 
     group = f"void boolean, k {kind}, block bigint"
-    steps = _sorted_groups(ticks.select(*GROUP, "t"), "t").mapInPandas(
+    # with the same columns as below, so that the shuffled ticks are used twice
+    steps = _sorted_groups(ticks.select(*GROUP, "t", "id"), "t").mapInPandas(
         lambda frames: (_block_steps(f, gap) for f in _whole_groups(frames)),
         f"{group}, opens bigint, upto bigint, leaves bigint",
     )

@@ -9,30 +9,26 @@ from pyspark.sql import functions as F
 
 from skylarder.functions.meals import clean_steps, prep_time, wide_pairs
 from skylarder.operators.dedup import dedup_first
-from skylarder.operators.nesting import MAX_ITEMS, renest, unnest
-from skylarder.schemas import INGREDIENTS, MEAL_FIELDS, MEASURES
+from skylarder.operators.nesting import unnest
+from skylarder.schemas import INGREDIENTS, MEASURES
 
 
-def land_meals(
-    shards: DataFrame, fetched_at: datetime, shard: str = "shard", max_items: int = MAX_ITEMS
-) -> DataFrame:
+def land_meals(shards: DataFrame, fetched_at: datetime, shard: str = "shard") -> DataFrame:
     """Merge shards (``shard``, ``meals``) into envelopes, each meal once.
 
     The first occurrence of an id stands, by shard and place in the shard; null
-    shards and meals without an id give nothing. Envelopes hold at most
-    ``max_items`` meals each and declare how many they hold.
+    shards and meals without an id give nothing. Each shard keeps an envelope for
+    the meals it was first with, so an envelope is no larger than its document
+    was, and declares how many it holds.
     """
-    arrivals = shards.select(shard, F.posexplode("meals").alias("place", "meal")).select(
-        shard, "place", "meal.*"
-    )
-    once = dedup_first(arrivals, "idMeal", [shard, "place"])
-    envelopes = renest(
-        once, MEAL_FIELDS, [F.col("place")], bucket=F.col(shard), name="meals", max_items=max_items
-    )
+    arrivals = shards.select(shard, F.posexplode("meals").alias("place", "meal"))
+    once = dedup_first(arrivals.withColumn("__id", F.col("meal.idMeal")), "__id", [shard, "place"])
+    placed = F.array_sort(F.collect_list(F.struct("place", "meal")))
+    envelopes = once.groupBy(shard).agg(F.count(F.lit(1)).alias("total_meals"), placed.alias("placed"))
     return envelopes.select(
-        F.col("n").alias("total_meals"),
+        "total_meals",
         F.lit(fetched_at.strftime("%Y%m%d_%H%M%S")).alias("fetch_timestamp"),
-        "meals",
+        F.transform("placed", lambda p: p["meal"]).alias("meals"),
     )
 
 

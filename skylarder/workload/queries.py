@@ -424,10 +424,10 @@ def land_meals(spark, sf):
         bucket=F.substring(F.md5("idMeal"), 1, 2),
         keys=["shard"],
         name="meals",
-        max_items=50,
+        max_items=64,
     )
     shards = shards.select(F.concat_ws("-", "shard", F.lpad("part", 9, "0")).alias("shard"), "meals")
-    landed = plans.land_meals(shards, AS_OF, max_items=100)
+    landed = plans.land_meals(shards, AS_OF)
     meals = landed.select("fetch_timestamp", "total_meals", F.explode("meals").alias("meal"))
     return meals.select("meal.idMeal", "meal.strCategory", "meal.strInstructions", "fetch_timestamp")
 

@@ -36,10 +36,11 @@ def test_land_meals_keeps_first_by_shard_and_place(spark):
         f"shard string, {MEAL_SHARD}",
     )
     rows = plans.land_meals(shards, AT).collect()
-    assert [(r.total_meals, r.fetch_timestamp) for r in rows] == [(2, "20250610_193651")]
-    assert [(m.idMeal, m.strMeal) for m in rows[0].meals] == [("1", "early"), ("2", "two")]
-    split = plans.land_meals(shards, AT, max_items=1).collect()
-    assert sorted(r.total_meals for r in split) == [1, 1]
+    assert {r.fetch_timestamp for r in rows} == {"20250610_193651"}
+    landed = [(r.total_meals, [(m.idMeal, m.strMeal) for m in r.meals]) for r in rows]
+    assert sorted(landed) == [(1, [("1", "early")]), (1, [("2", "two")])]
+    many = spark.createDataFrame([("a", [meal(str(i), "x") for i in range(40)])], f"shard string, {MEAL_SHARD}")
+    assert [m.idMeal for m in plans.land_meals(many, AT).first().meals] == [str(i) for i in range(40)]
 
 
 def test_format_meals(spark):
