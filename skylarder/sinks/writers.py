@@ -17,7 +17,7 @@ from skylarder.sources.snapshots import STAMP_FORMAT
 
 log = logging.getLogger(__name__)
 
-# how each file ending is written and read back
+# how each file ending is written
 FORMATS = {"parquet": "parquet", "json": "text", "jsonl": "text", "rows.json": "json"}
 
 
@@ -69,10 +69,12 @@ def mirror_snapshot(spark: SparkSession, path: str, mirror_root: str, **options)
     The copy reads what was written, so the job behind it does not run again.
     """
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    fmt = FORMATS[name.split(".", 1)[1]]
+    # JSON is copied as text, so that it stays as written
+    fmt = "parquet" if name.endswith(".parquet") else "text"
     try:
         layer = spark.range(1).select(layer_of(F.lit(path))).first()[0]
-        whole = {"wholetext": "true", "lineSep": "\n"} if name.endswith(".json") else {}
+        indented = name.endswith(".json") and not name.endswith(".rows.json")
+        whole = {"wholetext": "true"} if indented else {}
         copy = spark.read.format(fmt).options(**whole).load(path)
         copy.write.mode("overwrite").format(fmt).options(**options).save(
             f"{mirror_root.rstrip('/')}/{layer}/{name}"
