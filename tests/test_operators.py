@@ -229,3 +229,17 @@ def test_no_python_in_plans(spark, small_tables):
         plan = QUERIES[name](spark, small_tables)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan, name
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_scans_read_only_what_is_needed(spark, small_tables):
+    from skylarder.workload import QUERIES
+
+    def scans(name):
+        plan = QUERIES[name](spark, small_tables)._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "FileScan" in line]
+
+    assert not any("props" in line for line in scans("recommend"))
+    assert not any("p_retailprice" in line for line in scans("recommend"))
+    assert any("IsNotNull(p_size)" in line for line in scans("nearest_advice"))
+    assert any("IsNotNull(user_id)" in line for line in scans("dedup_first"))
+    assert all("text" not in line for line in scans("envelope_check"))
