@@ -174,7 +174,8 @@ FROM i, a GROUP BY l_orderkey, l_linenumber, t"""
 
 ORACLES["random_pick"] = f"""
 SELECT o_orderkey, p_partkey, p_name
-FROM orders JOIN ({_NUMBERED_PARTS}) ON pos = {_slot('o_orderkey', 'part')}"""
+FROM (SELECT o_orderkey, {_slot('o_orderkey', 'part')} AS slot FROM orders)
+  JOIN ({_NUMBERED_PARTS}) ON pos = slot"""
 
 _GEO = """SELECT n_nationkey, CASE WHEN n_regionkey = 4 THEN 'Unknown Location' ELSE
     CASE WHEN n_regionkey = 0 OR n_name <> 'NATION_1' THEN n_name ELSE 'Unknown' END
