@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 from check import compare, connect
 
+OWN = sorted(set(queries()) - set(LLM_QUERIES))
+
 
 @pytest.fixture(scope="module")
 def con(small_tables):
@@ -12,10 +14,10 @@ def con(small_tables):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(OWN) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, con, small_tables, name):
     assert compare(spark, con, name, small_tables) is None
 
