@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup
+from skylarder.llm import best_fit, exact_dedup, learned_partitions, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +27,13 @@ def op1_exact_dedup(spark, sf):
 @query
 def op6_best_fit_packing(spark, sf):
     return best_fit.pack(best_fit.cut(table(spark, sf, "documents")))
+
+
+@query
+def op9_toxicity(spark, sf):
+    return toxicity.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op10_learned_partitions(spark, sf):
+    return learned_partitions.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
