@@ -207,25 +207,28 @@ def nearest(
     routed = base.where(F.size("v") == size).mapInPandas(route, "vec_id long, v array<double>, is_query boolean, home int, probes array<int>")
     routed.write.parquet(at)
     routed = spark.read.schema(routed.schema).parquet(at)
-    probed = routed.where("is_query").select("vec_id", "v", F.explode("probes").alias("part"))
-    # one row per part each
+    probed = routed.where("is_query").select(
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode("probes").alias("part")
+    )
     blocks = routed.groupBy(F.col("home").alias("part")).agg(F.ceil(F.count("*") / block).alias("row_blocks"))
     query_blocks = probed.groupBy("part").agg(F.ceil(F.count("*") / block).alias("query_blocks"))
-    shape = F.broadcast(blocks.join(query_blocks, "part"))
+    at = f"{shared_dir(spark, 'partitions')}/shape"
+    blocks.join(query_blocks, "part").write.parquet(at)
+    shape = lambda: F.broadcast(spark.read.parquet(at))  # noqa: E731  one row per part
     key = ["part", "row_block", "query_block"]
-    place = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    place = lambda x, n: F.pmod(F.xxhash64(x), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    there = routed.withColumnRenamed("home", "part").join(shape, "part")
-    there = there.select("part", "vec_id", "v", place("row_blocks").alias("row_block"), every("query_blocks").alias("query_block"))
-    asked = probed.join(shape, "part")
-    asked = asked.select("part", "vec_id", "v", place("query_blocks").alias("query_block"), every("row_blocks").alias("row_block"))
+    there = routed.withColumnRenamed("home", "part").join(shape(), "part")
+    there = there.select(F.col("part").alias("part"), "vec_id", "v", place("vec_id", "row_blocks").alias("row_block"), every("query_blocks").alias("query_block"))
+    asked = probed.join(shape(), "part")
+    asked = asked.select("part", "query_id", "q", place("query_id", "query_blocks").alias("query_block"), every("row_blocks").alias("row_block"))
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         cm, ci = _matrix(c["v"]), c["vec_id"].to_numpy()
         return pd.concat(
-            best_of(_matrix(part["v"]), part["vec_id"].to_numpy(), cm, ci, k)
+            best_of(_matrix(part["q"]), part["query_id"].to_numpy(), cm, ci, k)
             for part in (q.iloc[a : a + 512] for a in range(0, len(q), 512))
         )
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup, learned_partitions, toxicity
+from skylarder.llm import best_fit, exact_dedup, learned_partitions, log_bilinear, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,8 @@ def op9_toxicity(spark, sf):
 @query
 def op10_learned_partitions(spark, sf):
     return learned_partitions.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op5_log_bilinear(spark, sf):
+    return log_bilinear.scores(table(spark, sf, "documents"))
