@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup, learned_partitions, log_bilinear, toxicity
+from skylarder.llm import best_fit, exact_dedup, html_templates, learned_partitions, log_bilinear, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,8 @@ def op10_learned_partitions(spark, sf):
 @query
 def op5_log_bilinear(spark, sf):
     return log_bilinear.scores(table(spark, sf, "documents"))
+
+
+@query
+def op2_html_templates(spark, sf):
+    return html_templates.extract(table(spark, sf, "pages"))
