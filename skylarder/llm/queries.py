@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup, html_templates, learned_partitions, log_bilinear, toxicity
+from skylarder.llm import best_fit, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,8 @@ def op5_log_bilinear(spark, sf):
 @query
 def op2_html_templates(spark, sf):
     return html_templates.extract(table(spark, sf, "pages"))
+
+
+@query
+def op7_order_minhash(spark, sf):
+    return order_minhash.groups(table(spark, sf, "documents"))
