@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, toxicity
+from skylarder.llm import best_fit, compact_windows, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,8 @@ def op2_html_templates(spark, sf):
 @query
 def op7_order_minhash(spark, sf):
     return order_minhash.groups(table(spark, sf, "documents"))
+
+
+@query
+def op8_compact_windows(spark, sf):
+    return compact_windows.repeats(table(spark, sf, "documents"))
