@@ -3,25 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, exact_dedup
+from skylarder.llm import best_fit, compact_windows, exact_dedup, order_minhash, toxicity
 from skylarder.llm.tables import table
 from skylarder.session import shared_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity operator doesn't predict toxic; it learns from the labels of its training fold."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("toxicity") < 0.5).drop("toxicity")
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document of the smallest id."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of a group of near copies the document of the smallest id."""
+    return order_minhash.drop_near_copies(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has; a text that held nothing else goes."""
+    return compact_windows.drop_repeats(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands among the training sequences."""
     return best_fit.pack(best_fit.cut(docs))
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_exact_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("substring dedup", drop_repeated_passages),
     ("best-fit packing", pack_sequences),
 ]
 
+#: models and alignments have no SQL; tests hold the stages against brute force
 ORACLE_SQL = None
 
 

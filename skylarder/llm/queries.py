@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, compact_windows, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, toxicity
+from skylarder.llm import best_fit, compact_windows, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, piece_codec, token_scan, toxicity
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,13 @@ def op7_order_minhash(spark, sf):
 @query
 def op8_compact_windows(spark, sf):
     return compact_windows.repeats(table(spark, sf, "documents"))
+
+
+@query
+def op3_token_counts(spark, sf):
+    return token_scan.counts(table(spark, sf, "documents"))
+
+
+@query
+def op4_piece_codec(spark, sf):
+    return piece_codec.summary(table(spark, sf, "documents"))
