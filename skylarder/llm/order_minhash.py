@@ -43,6 +43,8 @@ SAMPLED, SAMPLED_SHORT = 8, 3
 #: texts from LONG_FROM on sample the long way, texts below SHORT_TO the short way; their ratio is the threshold
 SHORT_TO, LONG_FROM = 60, 48
 MAX_WORDS = 400_000
+#: ids that are sent to every task, at most
+SENT_IDS = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20)
@@ -187,25 +189,37 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, k1 long, k2 long, buckets array<long>")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """a, b, similarity for pairs at or above ``least``; pairs between two texts of one id get 1 where ids say so."""
+def shingled(texts: DataFrame) -> DataFrame:
+    """id, grams: the text's shingles as little-endian 32-bit hashes, all that alignments need."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            known: dict[int, np.ndarray] = {}
+            ids, texts_ = batch.column("id"), batch.column("text").to_pylist()
+            for at in range(0, len(texts_), 256):
+                part = [shingles(hashes(words_of(t))).astype("<u4").tobytes() for t in texts_[at : at + 256]]
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), pa.array(part, pa.binary())], ["id", "grams"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, grams binary")
+
+
+def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of some ids. Up to SENT_IDS ids (8 MB) are sent to the tasks; beyond that both sides are shuffled."""
+    few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
+    return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
-            def grams(i, text):
-                if i not in known:
-                    known[i] = shingles(hashes(words_of(text)))
-                return known[i]
 
-            sims = [similarity(grams(a, x), grams(b, y), least) for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"])]
+def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """a, b, similarity for the pairs at or above ``least``; ``texts`` has id, grams."""
+
+    def run(batches):
+        for batch in batches:
+            sims = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) for x, y in zip(batch["x"], batch["y"])]
             out = pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": sims})
             yield out[out["similarity"] >= least - 1e-12]
 
-    there = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-    there = there.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+    there = pairs.join(texts.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
+    there = there.join(texts.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
     return there.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similarity double")
 
 
@@ -228,8 +242,7 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(buckets.join(shared, "bucket").distinct(), "members")
     weight = stored(members.groupBy("id").agg(F.sum("n").alias("weight")), "weights")
-    needed = rows.join(weight, "id", "left_semi").join(copies.where("id = rep").select("id").distinct(), "id", "left_semi")
-    texts = stored(needed.dropDuplicates(["id", "text"]), "texts")
+    texts = stored(shingled(only(rows, weight.select("id"))).distinct(), "texts")
 
     ranked = members.join(weight, "id")
     centre = ranked.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("at"))).alias("c"))
