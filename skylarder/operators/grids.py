@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def time_grid(start: Column, end: Column, step: Column) -> Column:
-    """Epoch seconds from start (inclusive) to end (exclusive), as an array."""
+    """Epoch seconds from start (inclusive) to end (exclusive), as an array; empty unless the step is above 0."""
     empty = F.array().cast("array<bigint>")
-    return F.when(end > start, F.sequence(start, end - 1, step)).otherwise(empty)
+    return F.when((end > start) & (step > 0), F.sequence(start, end - 1, step)).otherwise(empty)
 
 
 def zip_short(first: Column, second: Column, names: tuple[str, str]) -> Column:

@@ -39,13 +39,16 @@ def throttle(
     1. each block, in parallel, maps every possible last kept time to the last
        kept time at its end (a short step function);
     2. per key the steps are followed from block to block, giving each block its
-       incoming time. What meets here is one short list per block, so its size
-       goes with the time span and not with the number of rows;
+       incoming time. What meets here is one list of steps per block; a block of
+       dense rows has about one step per ``block_gaps`` rows, so for a dense key
+       this list grows with its rows;
     3. each block, in parallel, is walked from its incoming time.
 
     A hot key is therefore spread over as many tasks as it has blocks.
     """
     gap = round(gap_seconds * 1_000_000)
+    if gap <= 0:
+        raise ValueError("gap_seconds must be above 0; without a gap every instant is kept")
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     kind, label = _label(df, key)
     rows = df.select(*label, micros.alias("t"), F.col(row_id).alias("id")).filter("t is not null")

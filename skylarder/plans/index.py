@@ -14,6 +14,12 @@ def with_doc_id(df: DataFrame, doc_id: Column | None = None, columns: Sequence[s
     return df.withColumn("doc_id", fingerprint(columns or df.columns) if doc_id is None else doc_id)
 
 
+def observation_id(df: DataFrame) -> Column:
+    """Identifies a recommendation by its observation, so that a changed menu or advice adds nothing."""
+    where = [c for c in ("@timestamp", "location", "latitude", "longitude") if c in df.columns]
+    return fingerprint(where)
+
+
 def index_docs(
     df: DataFrame,
     existing: DataFrame | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skylarder.operators.duplicates import duplicate_report
 from skylarder.operators.quality import stage_count
+from skylarder.plans.index import observation_id
 from skylarder.plans.meals import explode_meals, format_meals, land_meals
 from skylarder.plans.merge import recommend
 from skylarder.plans.weather import format_weather, normalise_weather, temperature_series
@@ -105,5 +106,5 @@ def run_once(
     counts["distinct_patterns"] = report.distinct_patterns
     counts["indexed_temperature"] = write_index(series, lake.temperature_index)
     served = latest(lake.usage, "enhanced_recommendations", RECOMMENDATIONS)
-    counts["indexed_enhanced"] = write_index(served, lake.enhanced_index)
+    counts["indexed_enhanced"] = write_index(served, lake.enhanced_index, observation_id(served))
     return counts

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,19 +80,17 @@ def mirror_snapshot(spark: SparkSession, path: str, mirror_root: str, **options)
         copy.write.mode("overwrite").format(fmt).options(**options).save(
             f"{mirror_root.rstrip('/')}/{layer}/{name}"
         )
-    except PySparkException as e:
-        log.warning("mirror of %s failed: %s", path, e)
-        return False
-    except Exception as e:  # noqa: BLE001 - storage errors surface as JVM errors
+    except (PySparkException, Py4JJavaError, OSError) as e:  # storage errors surface as JVM errors
         log.warning("mirror of %s failed: %s", path, e)
         return False
     return True
 
 
-def write_index(df: DataFrame, index_path: str) -> int:
+def write_index(df: DataFrame, index_path: str, doc_id: Column | None = None) -> int:
     """Append the documents that ``index_path`` does not hold yet; returns how many.
 
-    A run repeated after a failure adds nothing twice.
+    A run repeated after a failure adds nothing twice. ``doc_id`` says what makes a
+    document the same; by default its whole content.
     """
     from skylarder.operators.quality import stage_count
     from skylarder.plans.index import index_docs
@@ -100,6 +99,6 @@ def write_index(df: DataFrame, index_path: str) -> int:
     existing = or_empty(
         spark, lambda: spark.read.schema("doc_id string").parquet(index_path), "doc_id string", "empty"
     )
-    added, seen = stage_count(index_docs(df, existing), "added")
+    added, seen = stage_count(index_docs(df, existing, doc_id), "added")
     added.write.mode("append").parquet(index_path)
     return seen.get["rows"]

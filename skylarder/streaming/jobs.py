@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skylarder.operators.dedup import dedup_first
 from skylarder.operators.throttle import throttle
+from skylarder.plans.index import observation_id
 from skylarder.plans.merge import recommend
 from skylarder.plans.run import Lake
 from skylarder.plans.weather import format_weather, normalise_weather, temperature_series
@@ -120,8 +121,12 @@ def throttle_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         memory = batch.select(key, at).schema
+        # only the first batch may be without a state
         before = or_empty(
-            spark, lambda: spark.read.schema(memory).parquet(f"{state}/batch={batch_id - 1}"), memory, "empty"
+            spark,
+            lambda: spark.read.schema(memory).parquet(f"{state}/batch={batch_id - 1}"),
+            memory,
+            "error" if batch_id else "empty",
         )
         kept = throttle(batch, key, at, gap_seconds, row_id, last_kept=before)
         kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -143,7 +148,7 @@ def recommend_stream(
     key: str | None = None,
     seed: str = "",
 ) -> StreamingQuery:
-    """Recommend for each arriving batch of weather, with the lookups as they are then."""
+    """Recommend for each arriving batch of weather, with the lookups as listed when the stream starts."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         served = recommend(batch, meals, advice, key=key, seed=seed)
@@ -174,6 +179,6 @@ def lake_stream(
         write_index(temperature_series(weather), lake.temperature_index)
         meals = read_snapshot(spark, lake.formatted_meals, "formatted_meals", FORMATTED_MEALS)
         served = recommend(weather, meals, read_advice(spark, lake.advice), seed=seed)
-        write_index(served, lake.enhanced_index)
+        write_index(served, lake.enhanced_index, observation_id(served))
 
     return each_batch(arriving, step, checkpoint, trigger)

@@ -354,7 +354,7 @@ def union_dedup(spark, sf):
     """Two sources one after the other, the first text of each id kept."""
     first = table(spark, sf, "benchmark").select(F.lit("a").alias("shard"), F.col("item_id").alias("id"), "text")
     second = table(spark, sf, "documents").select(F.lit("b").alias("shard"), F.col("doc_id").alias("id"), "text")
-    return op.dedup_first(first.unionByName(second), "id", ["shard"])
+    return op.dedup_first(first.unionByName(second), "id", ["shard", "text"])
 
 
 @query

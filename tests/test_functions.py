@@ -2,6 +2,7 @@
 
 import random
 import struct
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -17,35 +18,62 @@ def apply(spark, values, ddl, build):
 
 
 def test_prep_time_rules(spark):
-    def model(name):
-        if not name:
-            return 30
-        low, base = name.lower(), len(name) % 20 + 20
-        slow = any(w in low for w in ("soup", "stew", "roast", "casserole"))
-        quick = any(w in low for w in ("salad", "sandwich", "pancake"))
-        return base + 60 if slow else base - 10 if quick else base + 15
-
-    rng = random.Random(1)
-    words = ["Soup", "stew", "ROAST", "casserole", "salad", "Sandwich", "pancake", "é", "x" * 25, "😀"]
-    names = [None, "", " "] + [
-        " ".join(rng.choices(words + ["rice", "pie"], k=rng.randint(1, 5))) for _ in range(400)
-    ]
-    assert apply(spark, names, "string", fn.prep_time) == [model(n) for n in names]
-    # 12 letters without a keyword: 12 + 20 + 15
-    assert apply(spark, ["Tomato tarts"], "string", fn.prep_time) == [47]
+    """Minutes by hand: 20 to 39 by length, then what the kind of dish adds or saves."""
+    table = {
+        None: 30,
+        "": 30,
+        " ": 36,  # length 1: 21, other: +15
+        "Tomato tarts": 47,  # 12: 32 + 15
+        "Leek soup": 89,  # 9: 29 + 60
+        "BEEF STEW": 89,
+        "roast": 85,  # 5: 25 + 60
+        "Bean casserole": 94,  # 14: 34 + 60
+        "salad": 15,  # 5: 25 - 10
+        "Club Sandwich": 23,  # 13: 33 - 10
+        "pancakes": 18,  # 8: 28 - 10
+        "soup salad": 90,  # 10: 30, slow goes first
+        "x" * 19: 54,
+        "x" * 20: 35,
+        "x" * 40 + " soup": 85,
+        "éé": 37,
+    }
+    assert apply(spark, list(table), "string", fn.prep_time) == list(table.values())
+
+
+def test_prep_time_depends_on_length_and_kind_only(spark):
+    names = [f"{'y' * n}{word}" for word in ("", "stew", "salad") for n in range(1, 60)]
+    got = apply(spark, names, "string", fn.prep_time)
+    longer = apply(spark, ["z" * 20 + n for n in names], "string", fn.prep_time)
+    assert got == longer and {g % 5 for g in got} == set(range(5))
 
 
 def test_clean_steps_rules(spark):
-    def model(text):
-        lines = (text or "").replace("\r\n", "\n").split("\n")
-        return "; ".join([s.strip() for s in lines if s.strip()][:10])
-
+    table = {
+        None: "",
+        "": "",
+        "\n": "",
+        " \r\n ": "",
+        "a\rb\nc": "a\rb; c",
+        "mix\r\n\r\n  bake \n": "mix; bake",
+        "\u3000cut\u3000\n\x85\nfry": "cut; fry",
+        "a;b\nc": "a;b; c",
+        "\n".join(map(str, range(30))): "0; 1; 2; 3; 4; 5; 6; 7; 8; 9",
+        "\n \n".join("abcdefghijkl"): "a; b; c; d; e; f; g; h; i; j",
+    }
+    assert apply(spark, list(table), "string", fn.clean_steps) == list(table.values())
+
+
+def test_clean_steps_leaves_no_blank_step_and_keeps_letters_in_order(spark):
     rng = random.Random(2)
-    alphabet = list(WHITE_POOL) + ["\n", "\n", "\r\n", "a", "bc", "é", ";", "日"]
-    texts = [None, "", "\n", " \r\n ", "a\rb\nc", "\n".join(map(str, range(30)))] + [
-        "".join(rng.choices(alphabet, k=rng.randint(0, 80))) for _ in range(1500)
-    ]
-    assert apply(spark, texts, "string", fn.clean_steps) == [model(t) for t in texts]
+    alphabet = list(WHITE_POOL) + ["\n", "\n", "\r\n", "a", "bc", "é", "日"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 80))) for _ in range(800)]
+    got = apply(spark, texts, "string", fn.clean_steps)
+    for text, steps in zip(texts, got):
+        parts = steps.split("; ") if steps else []
+        assert len(parts) <= 10 and all(x and x[0] not in WHITE_POOL + "\n" and x[-1] not in WHITE_POOL + "\n" for x in parts)
+        letters = "".join(c for c in text if c in "abcé日")
+        assert letters.startswith("".join(c for c in steps if c in "abcé日"))
+    assert apply(spark, [g.replace("; ", "\n") for g in got], "string", fn.clean_steps) == got
 
 
 def test_clean_steps_keeps_long_blank_runs_linear(spark):
@@ -96,17 +124,17 @@ def test_bands(spark):
 
 
 def test_format_size(spark):
-    def model(size):
-        for unit in ("B", "KB", "MB", "GB"):
-            if size < 1024.0:
-                return f"{size:.1f} {unit}"
-            size /= 1024.0
-        return f"{size:.1f} TB"
-
+    """The number is within half a tenth of the exact quotient, with the unit that its power of 1024 names."""
     rng = random.Random(4)
     sizes = [0, 1, 1023, 1024, 1280, 1792, 1048575, 1048576, 2**30, 2**40, 5 * 2**50]
     sizes += [rng.randrange(2 ** rng.randint(1, 52)) for _ in range(500)]
-    assert apply(spark, sizes, "bigint", fn.format_size) == [model(s) for s in sizes]
+    names = ["B", "KB", "MB", "GB", "TB"]
+    for size, text in zip(sizes, apply(spark, sizes, "bigint", fn.format_size)):
+        number, unit = text.split(" ")
+        power = min(max(size.bit_length() - 1, 0) // 10, 4)
+        assert unit == names[power] and number[-2] == "."
+        assert abs(Fraction(number) - Fraction(size, 1024**power)) <= Fraction(1, 20)
+    assert apply(spark, [1280, 1792, 1048575], "bigint", fn.format_size) == ["1.2 KB", "1.8 KB", "1024.0 KB"]
 
 
 def test_paths(spark):

@@ -1,5 +1,6 @@
 """Operators against brute force on small inputs with the awkward cases."""
 
+import math
 import random
 
 import pytest
@@ -11,9 +12,9 @@ from skylarder.operators import nearest, sizing
 
 
 def nearest_model(t, entries):
-    if t is None:
-        return None
-    return min(entries, key=lambda e: abs(e[0] - t))[1] if entries else None
+    """Sort the lookup by distance, then by line, and take what comes first."""
+    ranked = sorted((math.inf if math.isnan(t) else abs(k - t), line, advice) for line, (k, advice) in enumerate(entries)) if t is not None else []
+    return ranked[0][2] if ranked else None
 
 
 def lookup_of(spark, entries):
