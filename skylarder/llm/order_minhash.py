@@ -7,10 +7,10 @@ band of the shingle sequences: with L aligned of m and n, similarity is L / (m +
 Groups are the components of verified links.
 
 Copies collapse to one representative first. In a bucket, all members are compared with
-its most central one; only where members stay in different components are they compared
-with further members, twice as many each round, until every pair across components has
-been compared. So a large group costs one comparison per member and bucket, and no link
-between different texts is left out that the buckets hold.
+its most central one. Members that don't come to the component of that one are compared
+with each other, four times as many leaders a round, until all of them have been. So a
+large group costs one comparison per member and bucket; what isn't compared is a member
+astray and those that stand with the centre, which meet in their other buckets.
 
 Short texts sample fewer shingles, and those near the boundary of lengths sample both ways,
 so that a pair above the threshold always shares a way.
@@ -250,28 +250,26 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     checked = stored(pairs, "pairs-0")
     found = stored(verify(checked, texts, least).select("a", "b"), "links-0")
-    step, label = 1, None
+    label = components(found).withColumnRenamed("node", "id")
+    at = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    middle = centre.select("bucket", (-F.col("c.at")).alias("id")).join(label, "id", "left")
+    middle = middle.select("bucket", F.coalesce("label", "id").alias("centre_label"))
+    astray = at.join(middle, "bucket").where("label <> centre_label").join(weight, "id")
+    order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
+    astray = stored(astray.select("bucket", "id", "label", F.row_number().over(order).alias("place")), "astray")
+    step = 0
     while True:
-        if label is None:
-            label = components(found).withColumnRenamed("node", "id")
-        at = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        parted = at.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
-        left = stored(at.join(parted, "bucket").join(weight, "id").withColumn("place", F.row_number().over(order)), f"left-{step}")
-        lead = left.where(F.col("place").between(2**step, 2 ** (step + 1) - 1))
+        lead = astray.where(F.col("place").between(4**step, 4 ** (step + 1) - 1))
         lead = lead.select("bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"), F.col("place").alias("lead_place"))
         if lead.isEmpty():
             return copies.select("id", "k1", "k2", "rep"), found
-        # those before a member in its bucket have been compared with it already
-        new = left.join(lead, "bucket").where("place > lead_place AND label <> lead_label")
+        new = astray.join(lead, "bucket").where("place > lead_place AND label <> lead_label")
         new = new.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+        step += 1
         new = stored(new.join(checked, ["a", "b"], "left_anti"), f"pairs-{step}")
         if not new.isEmpty():
             checked = checked.union(new)
-            more = stored(verify(new, texts, least).select("a", "b"), f"links-{step}")
-            if not more.isEmpty():
-                found, label = found.union(more), None
-        step += 1
+            found = found.union(stored(verify(new, texts, least).select("a", "b"), f"links-{step}"))
 
 
 def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
