@@ -1,0 +1,155 @@
+"""The numpy cores against brute force, without Spark."""
+
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from skylarder.llm import best_fit, compact_windows, html_templates, learned_partitions, log_bilinear, order_minhash, piece_codec, toxicity, word_bpe
+
+WORDS = "the of and thler ondea whanre stint beor 4u l'été ÄÖ, mañana. x|y <|endoftext|> it's Ⅷ 中文字 é".split()
+
+
+def some_texts(n, seed=1):
+    rng = random.Random(seed)
+    return ["", " ", "\n\t", "a\x1cb", "x" * 3000] + [" ".join(rng.choices(WORDS, k=rng.randint(1, 60))) for _ in range(n)]
+
+
+def test_word_encoder_equals_the_tokenizer():
+    own = word_bpe.encoder()
+    for text, ids in zip(some_texts(200), own.encode(some_texts(200))):
+        assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_best_fit_fills_bins_and_closes_the_fullest():
+    bins = best_fit.OpenBins(10, 2)
+    assert [bins.add(n) for n in (6, 7, 3)] == [(0, 0), (1, 0), (1, 7)]  # the fullest with room
+    assert bins.add(5) == (2, 0) and bins.open == 2
+    assert bins.add(9) == (3, 0)  # a third bin would be open, so the fullest closed
+    assert bins.add(1) == (3, 9) or bins.open <= 2
+
+
+def test_pieces_are_cut_at_the_size_only():
+    got = best_fit.pieces_of(np.arange(10, dtype=np.int32), 4)
+    assert [(k, at, n) for k, at, n, _ in got] == [(0, 0, 4), (1, 4, 4), (2, 8, 2)]
+    assert got[2][3] == zlib.crc32(np.array([8, 9], "<u4").tobytes())
+
+
+def brute_segmentation(codec, unit):
+    """Best (score, pieces) by recursion over a plain dictionary of pieces."""
+    table = {}
+    for _, codes, ids, scores in codec.by_length.values():
+        table.update({"".join(map(chr, c.tolist())): (s, i) for c, s, i in zip(codes, scores, ids.tolist())})
+    best = [(0.0, 0)] + [None] * len(unit)
+    for end in range(1, len(unit) + 1):
+        c = unit[end - 1]
+        n = len(c.encode())
+        options = [(best[end - 1][0] + piece_codec.BYTE_SCORE * n, best[end - 1][1] + n)]
+        for start in range(max(0, end - 16), end):
+            if unit[start:end] in table:
+                options.append((best[start][0] + table[unit[start:end]][0], best[start][1] + 1))
+        best[end] = max(options, key=lambda o: (o[0], -o[1]))
+    return best[-1]
+
+
+def test_piece_codec_is_best_and_round_trips():
+    codec = piece_codec.codec()
+    for word in ("▁thethe", "▁ondeaé", "whanre", "▁中文", "▁"):
+        ids = codec.viterbi(np.array([[ord(c) for c in word]], np.uint32))[0]
+        assert len(ids) == brute_segmentation(codec, word)[1]
+    odd = ["▁a ▁", "\0▁", "", "  a", "x" * 200, "é𝒳", " "] + some_texts(100)
+    assert [codec.decode(x) for x in codec.encode(odd)] == odd
+
+
+def test_compact_windows_cover_each_run_once():
+    rng = np.random.default_rng(3)
+    rank = rng.integers(0, 50, 60).astype(np.uint64)
+    found = compact_windows.compact_windows(rank, 7)
+    for i in range(60):
+        for j in range(i + 6, 60):
+            inside = [(lo, c, hi) for lo, c, hi in found.tolist() if lo <= i <= c <= j <= hi]
+            assert [c for _, c, _ in inside] == [i + int(rank[i : j + 1].argmin())]
+
+
+def test_passage_spans_a_replaced_word():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 1 << 30, 300), rng.integers(0, 1 << 30, 400)
+    b[100:220] = a[50:170]
+    assert compact_windows.passage(a, b, 80, 130, 46) == (50, 170, 100, 220)
+    b[160:165] = 7
+    assert compact_windows.passage(a, b, 80, 130, 46) == (50, 170, 100, 220)
+    assert compact_windows.passage(a[50:90], b[100:140], 5, 5, 46) is None
+    assert compact_windows.cut_words("a b  c\nd e", [(1, 3)]) == "a\nd e" and compact_windows.cut_words("a b", [(0, 2)]) == ""
+
+
+def test_similarity_is_that_of_the_longest_common_subsequence():
+    rng = np.random.default_rng(5)
+
+    def brute(a, b):
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1, j + 1] = best[i, j] + 1 if a[i] == b[j] else max(best[i, j + 1], best[i + 1, j])
+        return best[-1, -1] / (len(a) + len(b) - best[-1, -1])
+
+    for _ in range(100):
+        a = rng.integers(0, 200, 60)
+        b = np.delete(a, rng.integers(0, 60, rng.integers(0, 8)))
+        want, got = brute(a, b), order_minhash.similarity(a, b)
+        assert abs(got - want) < 1e-12 if want >= 0.8 else got < 0.8
+    assert order_minhash.similarity(a[:0], a[:0]) == 1 and order_minhash.similarity(a, a[:0]) == 0
+
+
+def test_sketch_keeps_order_and_labels_occurrences():
+    grams = order_minhash.shingles(order_minhash.WordHashes()([f"w{k}" for k in range(100)]))
+    same = order_minhash.sketch(grams) == order_minhash.sketch(grams.copy())
+    assert same.all() and not (order_minhash.sketch(grams) == order_minhash.sketch(grams[::-1])).any()
+    assert len(np.unique(order_minhash.labelled(np.full(9, 5, np.uint64)))) == 9
+    assert order_minhash.shingles(order_minhash.WordHashes()(["a", "b"])).shape == (1,)
+
+
+def test_restore_reads_hidden_letters():
+    words = ("idiot stupid worthless trash scum moron clown the of and or there " * 30).split()
+    costs = toxicity.costs_of(toxicity.count_trigrams([" ".join(words)]))
+    for hidden, word in {"1d10t": "idiot", "5tup1d": "stupid", "tr@sh": "trash", "m0r0n": "moron", "s-c-u-m": "scum", "stuuuupid": "stupid"}.items():
+        assert word in toxicity.readings(hidden, costs)
+    reader = toxicity.Reader(costs, {"idiot": 0})
+    assert reader.of_text("you i d i o t !") == {0} and reader.of_text("") == set()
+
+
+def test_main_text_leaves_out_what_is_not_the_article():
+    page = """<html><head><title>t</title></head><body><header><h1>Site</h1></header><div class="cookie-notice">c</div>
+    <nav><a href="/">Home</a></nav><main><h1>A &amp; B</h1><p>One <b>bo</b>ld<p>Two&nbsp;  words<script>x<y</script>
+    <div class="ad">buy</div><form>f</form></main><aside>s</aside><section id="comments"><p>r</p></section><footer>f</footer>"""
+    nothing = {"main": "", "drop": []}
+    assert html_templates.main_text(page, nothing) == "A & B One bold Two words"
+    assert html_templates.main_text("", nothing) == "" and html_templates.main_text("a < b <p>c", nothing) == "a < b c"
+
+
+def test_nearest_block_and_ties():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 8))
+    x[10:40] = x[10]
+    ids = np.arange(300)
+    got = learned_partitions.best_of(x[:20], ids[:20], x, ids, 5)
+    for q in range(20):
+        s = (x * x[q]).sum(1)
+        want = sorted((i for i in range(300) if i != q), key=lambda i: (-s[i], i))[:5]
+        assert got[got.query_id == q].vec_id.tolist() == want
+
+
+def test_balanced_parts_and_table_sums_to_one():
+    x = np.random.default_rng(7).standard_normal((400, 6))
+    sizes = np.bincount(learned_partitions.balanced_parts(learned_partitions.neighbour_graph(x, 8), 8))
+    assert sizes.max() - sizes.min() <= 3
+    share = np.full(log_bilinear.CLASSES, 1 / log_bilinear.CLASSES)
+    table = log_bilinear.Parameters.start(share).log10_table()
+    assert np.allclose((10.0 ** table[:50]).sum(1), 1, atol=1e-4)
+    assert log_bilinear.words_of("A É\u00a0b\x0bc") == [b"a", "É\u00a0b".encode(), b"c"]
+
+
+def test_lexicon_wants_confidence():
+    counts = pd.DataFrame({"entry": ["sure", "rare", "common"], "p": [40, 1, 50], "n": [0, 0, 450]})
+    assert toxicity.lexicon_of(counts, 100, 900) == ["sure"]
