@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from skylarder.operators.numbering import position_within
 from skylarder.session import shared_dir
 
-# below this many keys one level of cells will do
+# up to this many keys one level of cells will do
 FEW_KEYS = 64
-MIN_CELLS, MAX_CELLS = 256, 65_536
+FEW_CELLS = 256
+CELLS = 4096
 SMALL_KEYS = 100_000
 BROADCAST_BYTES = 64 << 20
 
@@ -64,7 +65,7 @@ def nearest_join(
     locate = _cells(keys, seen)
     gaps = _gaps(locate(keys, F.col("k")), seen.n)
     row_bytes = 2 * ((seen.width or 0) + 64)
-    if seen.n <= SMALL_KEYS and 3 * (seen.n + MIN_CELLS) * row_bytes <= BROADCAST_BYTES:
+    if seen.n <= SMALL_KEYS and 3 * (seen.n + CELLS) * row_bytes <= BROADCAST_BYTES:
         gaps = F.broadcast(gaps)
 
     # outside the key range the outermost key is the nearest
@@ -90,18 +91,30 @@ def nearest_join(
 def _cells(keys: DataFrame, seen) -> Callable[[DataFrame, Column], DataFrame]:
     """How to add the cell of a value within the key range, as ``__cell`` and ``__part``.
 
-    Cells are equally wide. Where keys crowd together a cell is cut again into
-    as many parts as it has keys, so that an outlying key does not push all
-    others into one cell. The cells with keys are at most MAX_CELLS rows.
+    Few keys get cells of equal width. Otherwise cells hold about equally many keys
+    (their bounds are quantiles, at most CELLS numbers), wherever the keys lie and
+    however far out some are; a cell of many keys is cut again into as many parts
+    as it has keys.
     """
-    cells = min(max(MIN_CELLS, seen.n), MAX_CELLS)
-    per_unit = cells / (seen.hi - seen.lo) if seen.hi > seen.lo else 0.0
+    if seen.n <= FEW_KEYS:
+        per_unit = FEW_CELLS / (seen.hi - seen.lo) if seen.hi > seen.lo else 0.0
+        few = lambda v: F.least(F.floor((v - seen.lo) * per_unit).cast("int"), F.lit(FEW_CELLS - 1))
+        return lambda df, v: df.withColumns({"__cell": few(v), "__part": F.lit(0)})
 
-    def cell(v: Column) -> Column:
-        return F.least(F.floor((v - seen.lo) * per_unit).cast("int"), F.lit(cells - 1))
+    # as text: thousands of column objects would take seconds to make
+    shares = ", ".join(f"{i / CELLS}D" for i in range(1, CELLS))
+    bounds = sorted(set(keys.agg(F.expr(f"percentile_approx(k, array({shares}))")).first()[0]))
+    # a single text folds into one array constant
+    knots = F.split(F.lit(",".join(map(repr, bounds))), ",").cast("array<double>")
+    halves = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
-    if seen.n <= FEW_KEYS:
-        return lambda df, v: df.withColumns({"__cell": cell(v), "__part": F.lit(0)})
+    def cell(v: Column) -> Column:
+        """How many bounds are not above the value, by halving steps."""
+        return F.aggregate(
+            F.lit(halves).cast("array<int>"),
+            F.lit(0),
+            lambda at, step: F.when(F.get(knots, at + step - 1) <= v, at + step).otherwise(at),
+        )
 
     filled = keys.groupBy(cell(F.col("k")).alias("__c")).agg(
         F.count(F.lit(1)).cast("int").alias("__m"), F.min("k").alias("__from"), F.max("k").alias("__to")
@@ -114,7 +127,8 @@ def _cells(keys: DataFrame, seen) -> Callable[[DataFrame, Column], DataFrame]:
             .when(v >= F.col("__to"), F.col("__m") - 1)
             .otherwise(F.least(parts, F.col("__m") - 1))
         )
-        celled = df.withColumn("__cell", cell(v))
+        # a null has no place, while a sum of steps would start at 0
+        celled = df.withColumn("__cell", F.when(v.isNotNull(), cell(v)))
         joined = celled.join(F.broadcast(filled), F.col("__cell") == F.col("__c"), "left")
         return joined.withColumn("__part", part).drop("__c", "__m", "__from", "__to")
 
@@ -127,7 +141,7 @@ def _gaps(keys: DataFrame, n: int) -> DataFrame:
     if n <= SMALL_KEYS:
         pairs = keys.select(knot.alias("lo"), F.lead(knot).over(Window.orderBy("k")).alias("hi"))
     else:
-        numbered = position_within(keys, bucket=F.col("__cell"), order=[F.col("k")], name="i")
+        numbered = position_within(keys, order=[F.col("k")], name="i")
         lo = numbered.select(F.col("i").alias("lo_i"), knot.alias("lo"))
         hi = numbered.select((F.col("i") - 1).alias("hi_i"), knot.alias("hi"))
         pairs = lo.join(hi, F.col("lo_i") == F.col("hi_i"), "left")

@@ -16,7 +16,6 @@ def renest(
     df: DataFrame,
     items: Sequence[str],
     order: Sequence[Column],
-    bucket: Column,
     keys: Sequence[str] = (),
     name: str = "items",
     max_items: int = MAX_ITEMS,
@@ -27,7 +26,7 @@ def renest(
     (rows of this envelope) and the ordered array. Long keys become several
     envelopes, so no array grows with the data; together they hold every row.
     """
-    placed = position_within(df, bucket, order, keys, name="__pos", total="__total")
+    placed = position_within(df, order, keys, name="__pos", total="__total")
     element = F.struct("__pos", F.struct(*items).alias("item"))
     nested = (
         placed.withColumn("part", F.floor(F.col("__pos") / max_items))

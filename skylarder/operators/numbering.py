@@ -7,39 +7,62 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skylarder.session import shared_dir
+
+# monotonically_increasing_id holds the partition above this bit, the row in it below
+_ROW_BITS = 33
+
 
 def position_within(
     df: DataFrame,
-    bucket: Column,
     order: Sequence[Column],
     keys: Sequence[str] = (),
     name: str = "pos",
     total: str | None = None,
 ) -> DataFrame:
-    """Number the rows of each key 0, 1, 2, ... in the order ``(bucket, *order)``.
+    """Number the rows of each key 0, 1, 2, ... in the order ``order``.
 
-    ``bucket`` cuts a key into slices that are sorted in parallel, so a key with
-    a large share of all rows spreads over many tasks; only the slice sizes meet
-    per key. ``total`` names an optional column with the size of the key.
+    All rows are dealt by ranges of key and order and sorted within them, so the
+    slices follow the data: a key with a large share of all rows spreads over as
+    many tasks as its share asks for. Only rows that are equal in key and order stay
+    together, so ``order`` should be total. The sorted rows are written once under
+    the shared folder, so ``df`` is evaluated once and places don't change when a
+    task runs again. What meets is one size per partition and one first row per key.
+    ``total`` names an optional column with the size of the key.
     """
-    # one struct key groups nulls together and lets the window and the join
-    # below share a single shuffle
-    slot = F.struct(*[F.col(k) for k in keys], bucket.alias("__bucket"))
-    rows = df.withColumn("__slot", slot)
-    sizes = rows.groupBy("__slot").agg(F.count(F.lit(1)).alias("__n"))
-
-    key_parts = [F.col(f"__slot.{k}") for k in keys]
-    per_key = Window.partitionBy(*key_parts)
-    before = per_key.orderBy("__slot.__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("__slot").alias("__of"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
-        F.sum("__n").over(per_key).alias("__rows"),
-    )
+    spark = df.sparkSession
+    ranks = [f"__order{i}" for i in range(len(order))]
+    # one struct key groups nulls together in the aggregation and in the join
+    rows = df.withColumns(dict(zip(ranks, order)) | {"__slot": F.struct(F.lit(0).alias("__all"), *keys)})
+    by = ["__slot", *ranks]
+    path = shared_dir(spark, "numbering")
+    # dealt and sorted before the rows are counted off
+    placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(*ranks)
+    placed = placed.withColumn("__row", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+
+    def part(row: str) -> Column:
+        return F.shiftright(row, _ROW_BITS)
 
-    local = F.row_number().over(Window.partitionBy("__slot").orderBy(*order))
-    numbered = rows.withColumn("__local", local).join(starts, F.col("__slot") == F.col("__of"))
-    extra = {name: F.col("__start") + F.col("__local") - 1}
+    def local(row: str) -> Column:
+        return F.col(row).bitwiseAND((1 << _ROW_BITS) - 1)
+
+    # one row per partition of the sort, so small enough for one task and a broadcast
+    sizes = placed.groupBy(part("__row").alias("__slice")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+
+    def absolute(rows: DataFrame, row: str, out: str) -> DataFrame:
+        met = rows.join(F.broadcast(starts), part(row) == F.col("__slice"))
+        return met.withColumn(out, F.col("__start") + local(row)).drop("__slice", "__start")
+
+    firsts = placed.groupBy(F.col("__slot").alias("__of")).agg(
+        F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__rows")
+    )
+    firsts = absolute(firsts, "__first", "__index_first")
+    numbered = absolute(placed, "__row", "__index").join(firsts, F.col("__slot") == F.col("__of"))
+    extra = {name: F.col("__index") - F.col("__index_first")}
     if total:
         extra[total] = F.col("__rows")
-    return numbered.withColumns(extra).drop("__slot", "__of", "__start", "__rows", "__local")
+    return numbered.withColumns(extra).drop("__slot", "__of", "__row", "__first", "__index_first", "__index", "__rows")

@@ -28,7 +28,7 @@ def random_pick(
 
     The choices are numbered in md5 order of their own key and met by equality on
     that number. They are measured first (one aggregation): few choices are
-    numbered in one task and broadcast; many are numbered in 4096 parallel slices
+    numbered in one task and broadcast; many are numbered in parallel slices
     and met by a shuffle, which is even because the numbers are hashes. Without
     choices the struct is null.
     """
@@ -44,7 +44,7 @@ def random_pick(
         position = F.row_number().over(Window.orderBy(*order)) - 1
         numbered = F.broadcast(choices.select(position.alias("__pos"), F.struct(*columns).alias(name)))
     else:
-        placed = position_within(choices, F.substring(tag, 1, 3), order, name="__pos")
+        placed = position_within(choices, order, name="__pos")
         numbered = placed.select("__pos", F.struct(*columns).alias(name))
 
     slot = hash_number(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed))) % F.lit(n)

@@ -218,7 +218,6 @@ def renest(spark, sf):
         table(spark, sf, "conversations"),
         items=["role", "text"],
         order=[F.col("turn")],
-        bucket=F.floor(F.col("turn") / 4),
         keys=["conv_id"],
         name="turns",
         max_items=3,
@@ -238,7 +237,6 @@ def explode_series(spark, sf):
         table(spark, sf, "conversations"),
         items=["turn", "role", "text"],
         order=[F.col("turn")],
-        bucket=F.floor(F.col("turn") / 64),
         keys=["conv_id"],
     )
     return op.unnest(nested, "items", keep=["conv_id"])
@@ -250,7 +248,6 @@ def envelope_check(spark, sf):
         table(spark, sf, "conversations"),
         items=["turn"],
         order=[F.col("turn")],
-        bucket=F.floor(F.col("turn") / 64),
         keys=["conv_id"],
         max_items=3,
     )
@@ -263,7 +260,6 @@ def number_rows(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     placed = op.position_within(
         orders,
-        bucket=F.year("o_orderdate"),
         order=[F.col("o_orderdate"), F.col("o_orderkey")],
         keys=["o_custkey"],
         total="orders",
@@ -421,7 +417,6 @@ def land_meals(spark, sf):
         copies,
         items=raw.columns,
         order=[F.col("idMeal")],
-        bucket=F.substring(F.md5("idMeal"), 1, 2),
         keys=["shard"],
         name="meals",
         max_items=64,
@@ -513,7 +508,6 @@ def timeseries(spark, sf):
         events,
         items=["time", "temperature_2m"],
         order=[F.col("time"), F.col("event_id")],
-        bucket=F.substring("time", 1, 10),
         keys=["user_id"],
         name="hourly",
     )

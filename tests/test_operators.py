@@ -56,6 +56,23 @@ def test_nearest_cuts_crowded_cells_again(spark):
     assert per_cell <= 3
 
 
+@pytest.mark.parametrize("small", [100_000, 100])
+@pytest.mark.parametrize("shape", ["two levels of outliers", "log spread"])
+def test_nearest_cells_follow_the_keys(spark, monkeypatch, small, shape):
+    """Cells hold a few gaps each wherever the keys lie, also where the lookup is large."""
+    monkeypatch.setattr(nearest, "SMALL_KEYS", small)
+    if shape == "log spread":
+        keys = spark.range(20_000).select(F.exp(F.col("id") / 500).alias("k"))
+    else:
+        keys = spark.range(20_000).select((F.col("id") / 20_000).alias("k"))
+        keys = keys.union(spark.sql("select explode(array(1e5D, 1e12D))"))
+    keys = keys.select("k", F.lit("v").alias("v"), F.col("k").alias("p"))
+    seen = keys.agg(F.count("k").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).first()
+    gaps = nearest._gaps(nearest._cells(keys, seen)(keys, F.col("k")), seen.n)
+    per_cell = gaps.groupBy("__at_cell", "__at_part").count().agg(F.max("count"), F.sum("count")).first()
+    assert per_cell[0] <= 12 and per_cell[1] <= 4 * seen.n
+
+
 def test_nearest_tie_goes_to_the_earlier_line_not_the_lower_key(spark):
     df = spark.createDataFrame([(20.5,)], "t double")
     for entries in ([(20.0, "a"), (21.0, "b")], [(21.0, "b"), (20.0, "a")]):
@@ -75,9 +92,7 @@ def test_position_within_spreads_a_hot_key_and_keeps_nulls(spark):
     rng = random.Random(6)
     rows = [(rng.choice(["hot", "hot", "a", None]), rng.randrange(1000), i) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, at int, id int")
-    out = op.position_within(
-        df, bucket=F.floor(F.col("at") / 100), order=[F.col("at"), F.col("id")], keys=["k"], total="n"
-    )
+    out = op.position_within(df, order=[F.col("at"), F.col("id")], keys=["k"], total="n")
     want = {}
     for key in {r[0] for r in rows}:
         group = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
@@ -167,7 +182,7 @@ def test_renest_bounds_envelopes_and_keeps_every_row(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 900, "hot").alias("k"), F.col("id").alias("at"), (F.col("id") * 3).alias("v")
     )
-    nested = op.renest(df, ["at", "v"], [F.col("at")], F.floor(F.col("at") / 50), ["k"], max_items=64)
+    nested = op.renest(df, ["at", "v"], [F.col("at")], ["k"], max_items=64)
     rows = nested.collect()
     assert max(r.n for r in rows) == 64 and sum(r.n for r in rows) == 1000
     assert {r.total for r in rows if r.k == "hot"} == {900}

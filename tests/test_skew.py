@@ -19,6 +19,7 @@ def settings(spark, **conf):
         "target": "spark.sql.adaptive.advisoryPartitionSizeInBytes",
         "broadcast": "spark.sql.autoBroadcastJoinThreshold",
         "late_broadcast": "spark.sql.adaptive.autoBroadcastJoinThreshold",
+        "merge_small": "spark.sql.adaptive.coalescePartitions.enabled",
     }
     before = {names[k]: spark.conf.get(names[k], None) for k in conf}
     for k, v in conf.items():
@@ -94,8 +95,21 @@ def test_latest_with_a_hot_snapshot(spark, shuffled):
 
 def test_numbering_and_dedup_with_a_hot_key(spark):
     rows = hot_rows(spark)
-    day = F.floor(F.unix_seconds("at") / 5000)
-    placed = op.position_within(rows, day, [F.col("at")], ["key"], total="n")
+    placed = op.position_within(rows, [F.col("at")], ["key"], total="n")
     hot = placed.filter("key = 1").agg(F.count("*"), F.countDistinct("pos"), F.max("pos"), F.max("n")).first()
     assert hot[0] == hot[1] == hot[2] + 1 == hot[3]
     assert op.dedup_first(rows, "key", ["at"]).count() == rows.select("key").distinct().count()
+
+
+def test_numbering_slices_a_key_whose_rows_share_a_day(spark, monkeypatch, tmp_path):
+    """A third of the rows are one key on one day; no task sorts more than about its part."""
+    from skylarder.operators import numbering
+
+    monkeypatch.setattr(numbering, "shared_dir", lambda *_: str(tmp_path / "sorted"))
+    with settings(spark, partitions="16", merge_small="false"):
+        placed = op.position_within(hot_rows(spark), [F.to_date("at"), F.col("id")], ["key"])
+    written = spark.read.parquet(str(tmp_path / "sorted"))
+    slices = written.groupBy(F.shiftright("__row", 33)).count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert slices[0] >= 8 and slices[1] <= 2 * ROWS / slices[0] and slices[2] == ROWS
+    hot = placed.filter("key = 1").agg(F.count("*"), F.countDistinct("pos"), F.max("pos"), F.min("pos")).first()
+    assert hot[0] == hot[1] == hot[2] + 1 and hot[3] == 0
