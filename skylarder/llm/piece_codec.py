@@ -71,8 +71,8 @@ class Codec:
         if all(float(x).is_integer() for x in log_probability):  # ranks of merges: by Zipf's law their logarithms
             log_probability = -np.log(2 - np.minimum(log_probability, 0))
         self.bytes = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
-        self.byte_of = {int(i): b for b, i in enumerate(self.bytes)}
-        self.text_of = dict((i, p.replace(SPACE, " ")) for p, i in usable)
+        self.raw_of = {i: p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p, i in usable}
+        self.raw_of |= {int(i): bytes([b]) for b, i in enumerate(self.bytes)}
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in range(1, MAX_PIECE + 1):
             own = [(p, i) for p, i in usable if len(p) == n]
@@ -159,13 +159,9 @@ class Codec:
         return [np.concatenate([known[u] for u in s]) if s else np.empty(0, np.int32) for s in split]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; runs of byte ids are joined before they become characters."""
-        parts: list[bytes] = []
-        byte_of, text_of = self.byte_of, self.text_of
-        for i in ids.tolist():
-            b = byte_of.get(i)
-            parts.append(text_of[i].encode("utf-8", "surrogatepass") if b is None else bytes([b]))
-        return b"".join(parts).decode("utf-8", "surrogatepass")[1:]  # the first word has a mark, too
+        """The text of ids; their bytes are joined before they become characters."""
+        raw_of = self.raw_of
+        return b"".join([raw_of[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]  # the first word has a mark, too
 
 
 def units_of(text: str) -> list[str]:
