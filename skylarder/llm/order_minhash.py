@@ -7,10 +7,11 @@ band of the shingle sequences: with L aligned of m and n, similarity is L / (m +
 Groups are the components of verified links.
 
 Copies collapse to one representative first. In a bucket, all members are compared with
-its most central one. Members that don't come to the component of that one are compared
-with each other, four times as many leaders a round, until all of them have been. So a
-large group costs one comparison per member and bucket; what isn't compared is a member
-astray and those that stand with the centre, which meet in their other buckets.
+its most central one. While its members are in several components, more of them lead, four
+times as many a round, and are compared with all members of other components. So no link
+that a bucket holds between components is left out, and a large group costs one comparison
+per member and bucket. As 1 - similarity is a metric, a pair needs no comparison if one is
+nearer to the centre than the other can be by more than the threshold allows.
 
 Short texts sample fewer shingles, and those near the boundary of lengths sample both ways,
 so that a pair above the threshold always shares a way.
@@ -165,6 +166,18 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return found / (m + n - found)
 
 
+def most_similar(a: np.ndarray, b: np.ndarray) -> float:
+    """An upper bound of the similarity, from the shingles in common alone."""
+    m, n = len(a), len(b)
+    if m == 0 or n == 0:
+        return float(m == n)
+    ua, ca = np.unique(a, return_counts=True)
+    ub, cb = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    both = int(np.minimum(ca[i], cb[j]).sum())
+    return both / (m + n - both)
+
+
 # --- over tables --------------------------------------------------------------------
 
 
@@ -210,17 +223,18 @@ def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """a, b, similarity for the pairs at or above ``least``; ``texts`` has id, grams."""
+    """a, b, similarity (0 if certainly below ``least``), most (what it is at most) for pairs; ``texts`` has id, grams."""
 
     def run(batches):
         for batch in batches:
-            sims = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) for x, y in zip(batch["x"], batch["y"])]
-            out = pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": sims})
-            yield out[out["similarity"] >= least - 1e-12]
+            own = [(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in zip(batch["x"], batch["y"])]
+            most = [most_similar(x, y) for x, y in own]
+            sims = [similarity(x, y, least) if m >= least - 1e-9 else 0.0 for (x, y), m in zip(own, most)]
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": sims, "most": most})
 
     there = pairs.join(texts.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     there = there.join(texts.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
-    return there.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similarity double")
+    return there.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similarity double, most double")
 
 
 def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -249,27 +263,34 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     pairs = members.join(centre.select("bucket", (-F.col("c.at")).alias("centre")), "bucket").where("id <> centre")
     pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     checked = stored(pairs, "pairs-0")
-    found = stored(verify(checked, texts, least).select("a", "b"), "links-0")
-    label = components(found).withColumnRenamed("node", "id")
-    at = members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    middle = centre.select("bucket", (-F.col("c.at")).alias("id")).join(label, "id", "left")
-    middle = middle.select("bucket", F.coalesce("label", "id").alias("centre_label"))
-    astray = at.join(middle, "bucket").where("label <> centre_label").join(weight, "id")
-    order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
-    astray = stored(astray.select("bucket", "id", "label", F.row_number().over(order).alias("place")), "astray")
-    step = 0
+    measured = stored(verify(checked, texts, least), "measured-0")
+    found = measured.where(F.col("similarity") >= least - 1e-12).select("a", "b").distinct()
+    # per member how similar it is to the centre, at least and at most: 1 - similarity is a metric
+    bounds = stored(measured.groupBy("a", "b").agg(F.min("similarity").alias("low"), F.max("most").alias("high")), "bounds")
+    ours = members.join(centre.select("bucket", (-F.col("c.at")).alias("centre")), "bucket").where("id <> centre")
+    ours = ours.select("bucket", "n", "id", F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).join(bounds, ["a", "b"])
+    share = F.pmod(F.xxhash64("bucket", "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rest = stored(ours.select("bucket", "id", "n", "low", "high", share.alias("at")), "rest")
+    labels, step = components(found).withColumnRenamed("node", "id"), 0
     while True:
-        lead = astray.where(F.col("place").between(4**step, 4 ** (step + 1) - 1))
-        lead = lead.select("bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"), F.col("place").alias("lead_place"))
-        if lead.isEmpty():
+        named = rest.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+        named = stored(named.join(mixed, "bucket", "left_semi"), f"mixed-{step}")
+        if named.where(F.col("n") > 4**step).isEmpty():
             return copies.select("id", "k1", "k2", "rep"), found
-        new = astray.join(lead, "bucket").where("place > lead_place AND label <> lead_label")
-        new = new.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
         step += 1
+        # each round four times as many lead, and are compared with all that come after them
+        lead = named.where(F.floor(F.col("at") * F.col("n") / 4 ** (step - 1)).between(0 if step == 1 else 1, 3))
+        lead = lead.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("id", "low", "high", "at", "label")))
+        apart = (F.col("low") - F.col("high_") > 1 - least + 1e-9) | (F.col("low_") - F.col("high") > 1 - least + 1e-9)
+        new = named.join(lead, "bucket").where("(at, id) > (at_, id_) AND label <> label_").where(~apart)
+        new = new.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
         new = stored(new.join(checked, ["a", "b"], "left_anti"), f"pairs-{step}")
-        if not new.isEmpty():
-            checked = checked.union(new)
-            found = found.union(stored(verify(new, texts, least).select("a", "b"), f"links-{step}"))
+        checked = checked.union(new)
+        met = stored(verify(new, texts, least).where(F.col("similarity") >= least - 1e-12).select("a", "b"), f"links-{step}")
+        if not met.isEmpty():
+            found = found.union(met)
+            labels = components(found).withColumnRenamed("node", "id")
 
 
 def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

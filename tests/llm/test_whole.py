@@ -2,7 +2,10 @@
 
 import random
 
-from skylarder.llm import compact_windows
+import numpy as np
+from pyspark.sql import functions as F
+
+from skylarder.llm import compact_windows, order_minhash
 
 
 def words(rng, n):
@@ -28,3 +31,33 @@ def test_passages_around_a_common_line_are_all_found(spark):
             want.add(k)
         seen.add(group_of[i])
     assert set(got) == want and min(got.values()) >= 50
+
+
+def test_no_link_that_a_bucket_holds_is_left_out(spark, monkeypatch):
+    # one bucket for all: the centre's family C, A and the member X that only A comes near
+    monkeypatch.setattr(order_minhash, "sketches", one_bucket)
+    rng = random.Random(12)
+    c = words(rng, 300)
+    a = c[:-30] + words(rng, 30)
+    x = words(rng, 28) + a[28:]
+    far = words(rng, 300)
+    rows = [(1, " ".join(c)), (2, " ".join(a)), (3, " ".join(x)), (4, " ".join(far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = order_minhash.WordHashes()
+    grams = [order_minhash.shingles(hashes(t)) for t in (c, a, x)]
+    assert order_minhash.similarity(grams[0], grams[1]) >= 0.8 and order_minhash.similarity(grams[1], grams[2]) >= 0.8
+    assert order_minhash.similarity(grams[0], grams[2]) < 0.8
+    got = {r.doc_id: r.group_id for r in order_minhash.groups(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def one_bucket(docs):
+    return docs.select("id", F.xxhash64("text").alias("k1"), F.lit(0).cast("long").alias("k2"), F.array(F.lit(9).cast("long")).alias("buckets"))
+
+
+def test_bounds_of_similarity_hold():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a, b, c = (np.delete(np.tile(np.arange(40), 2), rng.integers(0, 80, rng.integers(1, 30))) for _ in range(3))
+        ab, bc, ac = (order_minhash.similarity(x, y, 0.01) for x, y in ((a, b), (b, c), (a, c)))
+        assert ab <= order_minhash.most_similar(a, b) + 1e-12 and (1 - ac) <= (1 - ab) + (1 - bc) + 1e-12
