@@ -61,3 +61,21 @@ def test_bounds_of_similarity_hold():
         a, b, c = (np.delete(np.tile(np.arange(40), 2), rng.integers(0, 80, rng.integers(1, 30))) for _ in range(3))
         ab, bc, ac = (order_minhash.similarity(x, y, 0.01) for x, y in ((a, b), (b, c), (a, c)))
         assert ab <= order_minhash.most_similar(a, b) + 1e-12 and (1 - ac) <= (1 - ab) + (1 - bc) + 1e-12
+
+
+def test_second_copy_in_one_document_is_cut(spark):
+    rng = random.Random(13)
+    passage = words(rng, 60)
+    rows = [(1, " ".join(words(rng, 30) + passage + words(rng, 30))), (2, " ".join(words(rng, 30) + passage + words(rng, 70) + passage + words(rng, 5)))]
+    got = compact_windows.repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("NOT kept").collect()
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == [(2, 30, 90), (2, 160, 220)]
+
+
+def test_passages_at_the_threshold_share_a_key():
+    rng, lost = np.random.default_rng(14), 0
+    for _ in range(1000):
+        a = rng.integers(0, 1 << 63, 46, dtype=np.uint64)
+        b, at = a.copy(), rng.integers(0, 42)
+        b[at : at + 5] = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
+        lost += not set(zip(*compact_windows.keys_of(a, 46))) & set(zip(*compact_windows.keys_of(b, 46)))
+    assert lost <= 10
