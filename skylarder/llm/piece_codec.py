@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding with batched numpy Viterbi.
 
 A text's white space is marked as the vocabulary has it; a word with its mark is a unit.
-Distinct units of one length advance together: for each end place and piece length, hashes
+Distinct units of one length advance together, and those over MAX_UNIT characters alone: for each end place and piece length, hashes
 of the substrings probe the sorted hashes of the pieces, and vectorised maxima keep the best
 score and its backpointer. A character that no piece covers falls back to its bytes. The
 best segmentation under the vocabulary's log probabilities is taken (the fewest pieces among
@@ -34,8 +34,10 @@ SPACE = "▁"
 LITERAL = "\udfff"
 #: longest piece, in characters, that is looked for; the vocabulary has none longer
 MAX_PIECE = 16
-#: longest unit; longer ones are cut here, and the cuts are encoded on their own
+#: longest unit that is encoded beside others of its length and remembered
 MAX_UNIT = 64
+#: characters of a longer unit whose pieces are looked up at once
+WINDOW = 1 << 14
 MAX_UNITS = 200_000
 #: what a character without a piece costs, for each of its bytes
 BYTE_SCORE = -100.0
@@ -137,6 +139,52 @@ class Codec:
             todo = todo[at[todo] > 0]
         return [np.array(x[::-1], np.int32) for x in out]
 
+    def viterbi_long(self, unit: str) -> np.ndarray:
+        """Ids of one unit of any length: pieces are looked up by windows, scores carry over their borders."""
+        units = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
+        n, codes = len(units), units.astype(np.uint64)
+        width = np.where(units < 0x80, 1, np.where(units < 0x800, 2, np.where(units < 0x10000, 3, 4))).tolist()
+        back, piece = np.ones(n + 1, np.int8), np.full(n + 1, -1, np.int32)
+        # best score and number of pieces of the last MAX_PIECE places, by place modulo ring
+        ring = MAX_PIECE + 1
+        best, count = [0.0] * ring, [0] * ring
+        for at in range(0, n, WINDOW):
+            stop = min(n, at + WINDOW)
+            found: list[list[tuple[int, float, int]]] = [[] for _ in range(stop - at)]
+            for length, (keys, texts, ids, scores) in self.by_length.items():
+                # pieces that end inside the window
+                part = codes[max(0, at + 1 - length) : stop]
+                if len(part) < length:
+                    continue
+                own = np.lib.stride_tricks.sliding_window_view(part, length)
+                key = _hash(own)
+                k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = np.flatnonzero(keys[k] == key)
+                hit = hit[(texts[k[hit]] == own[hit]).all(1)]
+                ends = hit + (max(0, at + 1 - length) + length - 1 - at)
+                for e, score, i in zip(ends.tolist(), scores[k[hit]].tolist(), ids[k[hit]].tolist()):
+                    found[e].append((length, score, i))
+            for end, options in enumerate(found, at + 1):
+                w, old = width[end - 1], (end - 1) % ring
+                top, pieces, won = best[old] + BYTE_SCORE * w, count[old] + w, None
+                for option in options:
+                    start = (end - option[0]) % ring
+                    score, c = best[start] + option[1], count[start] + 1
+                    if score > top or (score == top and c <= pieces):
+                        top, pieces, won = score, c, option
+                best[end % ring], count[end % ring] = top, pieces
+                if won:
+                    back[end], piece[end] = won[0], won[2]
+        out: list[int] = []
+        end = n
+        while end:
+            if piece[end] >= 0:
+                out.append(int(piece[end]))
+            else:
+                out.extend(self.bytes[list(unit[end - 1].encode("utf-8", "surrogatepass"))][::-1].tolist())
+            end -= int(back[end])
+        return np.array(out[::-1], np.int32)
+
     def _learn(self, units: list[str]) -> None:
         by_size: dict[int, list[str]] = {}
         for u in units:
@@ -154,9 +202,14 @@ class Codec:
             self._forget()
         known = self.known
         new = [u for u in {u for s in split for u in s} if u not in known]
+        long = [u for u in new if len(u) > MAX_UNIT]
         if new:
-            self._learn(new)
-        return [np.concatenate([known[u] for u in s]) if s else np.empty(0, np.int32) for s in split]
+            self._learn([u for u in new if len(u) <= MAX_UNIT] if long else new)
+        known.update((u, self.viterbi_long(u)) for u in long)
+        out = [np.concatenate([known[u] for u in s]) if s else np.empty(0, np.int32) for s in split]
+        for u in long:
+            del known[u]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; their bytes are joined before they become characters."""
@@ -169,7 +222,7 @@ def units_of(text: str) -> list[str]:
     if not text:
         return []
     out = [SPACE + word for word in text.split(" ")]
-    if max(map(len, out)) <= MAX_UNIT and SPACE not in text:
+    if SPACE not in text:
         return out
     cut: list[str] = []
     for unit in out:
@@ -177,7 +230,8 @@ def units_of(text: str) -> list[str]:
         for k, part in enumerate([SPACE + parts[0], *parts[1:]]):
             if k:
                 cut.append(LITERAL)
-            cut.extend(part[at : at + MAX_UNIT] for at in range(0, len(part), MAX_UNIT))
+            if part:
+                cut.append(part)
     return cut
 
 

@@ -3,9 +3,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from skylarder.llm import compact_windows, order_minhash
+from skylarder.llm import compact_windows, order_minhash, piece_codec
+
+from test_pure import brute_segmentation
 
 
 def words(rng, n):
@@ -79,3 +82,16 @@ def test_passages_at_the_threshold_share_a_key():
         b[at : at + 5] = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
         lost += not set(zip(*compact_windows.keys_of(a, 46))) & set(zip(*compact_windows.keys_of(b, 46)))
     assert lost <= 10
+
+
+@pytest.mark.parametrize("window", [1, 7, 50, 1 << 14])
+def test_long_words_have_the_best_segmentation(monkeypatch, window):
+    monkeypatch.setattr(piece_codec, "WINDOW", window)
+    codec, rng = piece_codec.codec(), random.Random(15)
+    for letters in ("theandofinrst", "中文字的一是不", "aé/.=&%?0123🙂"):
+        word = "".join(rng.choices(letters, k=301))
+        whole = piece_codec.SPACE + word
+        got = codec.encode([word])[0]
+        one = codec.viterbi(np.array([[ord(c) for c in whole]], np.uint32))[0]
+        assert got.tolist() == one.tolist() and codec.decode(got) == word
+        assert len(got) == brute_segmentation(codec, whole)[1]
