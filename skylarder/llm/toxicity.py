@@ -34,6 +34,8 @@ SAMPLE_ROWS = 20_000
 #: entries of the lexicon, at most
 LEXICON = 8192
 FOLDS = 5
+#: characters of one lattice
+LATTICE = 40
 #: words a worker process remembers
 MAX_WORDS = 300_000
 
@@ -149,6 +151,14 @@ def _trim(word: str) -> str:
     return core.rstrip("!|+(")
 
 
+def lattices(core: str) -> list[str]:
+    """The word itself; of a word over LATTICE characters, longer runs become three, and what is still longer goes by halves that overlap."""
+    if len(core) <= LATTICE:
+        return [core]
+    core = re.sub(r"(.)\1{2,}", r"\1\1\1", core)
+    return [core[at : at + LATTICE] for at in range(0, max(1, len(core) - LATTICE // 2), LATTICE // 2)]
+
+
 def readings(word: str, costs: Costs) -> set[str]:
     """A word in lower case as it stands and, if it hides letters, restored."""
     word = unicodedata.normalize("NFKC", word).lower()
@@ -157,8 +167,8 @@ def readings(word: str, costs: Costs) -> set[str]:
     else:
         core = _trim("".join(c for c in word if unicodedata.category(c) != "Cf"))
     found = {core} if core.isalpha() else set()
-    if len(core) <= 40 and _HIDING.search(core):
-        found.add(restore(core, costs))
+    if _HIDING.search(core):
+        found.update(restore(part, costs) for part in lattices(core))
     return {x for x in found if len(x) > 1}
 
 
@@ -179,6 +189,19 @@ class Reader:
             return tuple(self.wanted[e] for e in found if e in self.wanted)
         return tuple(found)
 
+    def of_run(self, run: str) -> tuple:
+        """Of letters without word boundaries: the entries at every start, once there is a lexicon."""
+        found = set(self.of_word(run))
+        if self.wanted is not None:
+            for r in readings(run, self.costs):
+                found.update(self.wanted[e] for at in range(1, len(r)) for e in self.at(r, at) if e in self.wanted)
+        return tuple(found)
+
+    def at(self, reading: str, at: int) -> list[str]:
+        """Words of up to LATTICE letters that begin at a place, and the beginnings of four to six letters there."""
+        rest = reading[at : at + LATTICE]
+        return [rest[:n] for n in range(4, len(rest) + 1)] + entries(rest)[1:]
+
     def of_text(self, text: str) -> set:
         if len(self.known) > MAX_WORDS:
             self.known = {}
@@ -189,7 +212,8 @@ class Reader:
             got = known.get(word)
             if got is None:
                 # letters given one by one are a lattice too, even when none is changed
-                got = known[word] = self.of_word(word) if word[-1] != "\0" else self.of_word(word[:-1])
+                run = word[-1] == "\0" or len(word) > LATTICE
+                got = known[word] = self.of_run(word.rstrip("\0")) if run else self.of_word(word)
             if got:
                 out.update(got)
         return out

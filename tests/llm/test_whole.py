@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skylarder.llm import compact_windows, order_minhash, piece_codec
+from skylarder.llm import compact_windows, order_minhash, piece_codec, toxicity
 
 from test_pure import brute_segmentation
 
@@ -95,3 +95,12 @@ def test_long_words_have_the_best_segmentation(monkeypatch, window):
         one = codec.viterbi(np.array([[ord(c) for c in whole]], np.uint32))[0]
         assert got.tolist() == one.tolist() and codec.decode(got) == word
         assert len(got) == brute_segmentation(codec, whole)[1]
+
+
+def test_hidden_words_are_found_in_long_words_and_spaced_runs():
+    text = ("idiot stupid worthless trash scum moron clown you such a the of and or there " * 30)
+    reader = toxicity.Reader(toxicity.costs_of(toxicity.count_trigrams([text])), {"idiot": 0, "moron": 1})
+    assert reader.of_text("such a m o r o n") == {1} and reader.of_text("y o u i d i o t") == {0}
+    assert reader.of_text("i" + "d" * 60 + "iot") == {0} and reader.of_text("i-d-i-o-t".replace("-", "-" * 15)) == {0}
+    assert reader.of_text("there" * 9 + "1d10t" + "there" * 9) == {0}
+    assert reader.of_text("t h e r e") == set() and reader.of_text("there" * 20) == set()
