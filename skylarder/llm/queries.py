@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylarder.llm import best_fit, compact_windows, exact_dedup, html_templates, learned_partitions, log_bilinear, order_minhash, piece_codec, token_scan, toxicity
+from skylarder.llm import (
+    best_fit,
+    compact_windows,
+    exact_dedup,
+    filter_audit,
+    html_templates,
+    item_search,
+    learned_partitions,
+    line_dedup,
+    log_bilinear,
+    order_minhash,
+    piece_codec,
+    token_scan,
+    toxicity,
+)
 from skylarder.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +81,18 @@ def op3_token_counts(spark, sf):
 @query
 def op4_piece_codec(spark, sf):
     return piece_codec.summary(table(spark, sf, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op12_item_search(spark, sf):
+    return item_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_line_dedup(spark, sf):
+    return line_dedup.report(table(spark, sf, "documents"))
