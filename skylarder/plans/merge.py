@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from skylarder.functions.meals import minutes_text
 from skylarder.functions.times import compact_time
 from skylarder.functions.weather import fallback_advice, temperature_category
+from skylarder.operators.asof import asof_join
 from skylarder.operators.nearest import nearest_join
-from skylarder.operators.pick import random_pick
+from skylarder.operators.numbering import position_within
+from skylarder.operators.pick import hash_number, random_pick
 from skylarder.plans.weather import location_columns
 
+_MENU = ("meal_id", "meal_name", "preparation_time", "instructions", "ingredients", "category", "region")
+
 
 def _record_key() -> Column:
     """What tells one observation from another: where and when."""
@@ -34,6 +38,43 @@ def recommend(
     also drops observations of exactly 0.0 degrees. Without meals the meal
     columns are null.
     """
+    advised = _advised(weather, advice, key, compat)
+    served = random_pick(advised, meals.select(*_MENU), key or "__key", "meal_id", seed, name="meal")
+    return _served(served, key)
+
+
+def recommend_history(
+    weather: DataFrame,
+    menus: DataFrame,
+    advice: DataFrame,
+    key: str | None = None,
+    seed: str = "",
+    menu_at: str = "snapshot_at",
+    compat: bool = False,
+) -> DataFrame:
+    """Recommendations over a whole history: each observation from the menu that was valid then.
+
+    ``menus`` holds the meals of all snapshots, each with the time of its snapshot. An
+    observation meets the latest snapshot at or before its time, and picks among the meals
+    of that snapshot; before the first one it has no meal. Only one row per snapshot goes
+    through the as-of join; the meals are numbered in parallel and met by equality.
+    """
+    advised = _advised(weather, advice, key, compat)
+    order = [F.md5(F.col("meal_id").cast("string")), F.col("meal_id")]
+    placed = position_within(menus.select(menu_at, *_MENU).where(F.col(menu_at).isNotNull()), order, [menu_at], name="__pos")
+    numbered = placed.select(F.col(menu_at).alias("__menu"), "__pos", F.struct(*_MENU).alias("meal"))
+    snapshots = menus.where(F.col(menu_at).isNotNull()).groupBy(F.col(menu_at).alias("menu_at")).agg(F.count(F.lit(1)).alias("meals"))
+    timed = advised.withColumn("__at", F.try_to_timestamp("@timestamp"))
+    valid = asof_join(timed, snapshots, "__at", "menu_at", name="__valid")
+    slot = hash_number(F.concat_ws("|", F.col(key or "__key").cast("string"), F.lit(seed))) % F.col("__valid.meals")
+    picked = valid.withColumn("__slot", slot).join(
+        numbered, (F.col("__valid.menu_at") == F.col("__menu")) & (F.col("__slot") == F.col("__pos")), "left"
+    )
+    return _served(picked, key)
+
+
+def _advised(weather: DataFrame, advice: DataFrame, key: str | None, compat: bool) -> DataFrame:
+    """Observations with a temperature, flat, with the nearest advice."""
     temperature = F.col("current.temperature_2m")
     usable = temperature.isNotNull()
     if compat:
@@ -50,7 +91,7 @@ def recommend(
         temperature_category(temperature).alias("temperature_category"),
         F.get(F.col("daily"), F.lit(0))["uv_index_max"].alias("uv_index_max"),
     )
-    advised = nearest_join(
+    return nearest_join(
         observed,
         advice,
         on="current_temperature",
@@ -60,10 +101,10 @@ def recommend(
         name="recommended_advice",
         fallback=fallback_advice,
     )
-    menu = meals.select(
-        "meal_id", "meal_name", "preparation_time", "instructions", "ingredients", "category", "region"
-    )
-    served = random_pick(advised, menu, key or "__key", "meal_id", seed, name="meal")
+
+
+def _served(served: DataFrame, key: str | None) -> DataFrame:
+    """Recommendations with the meal they picked, if any."""
     minutes = F.when(F.col("meal").isNotNull(), minutes_text(F.col("meal.preparation_time")))
     return served.select(
         *([key] if key else []),

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylarder.functions.numeric import round_half_even, round_to_int
-from skylarder.functions.places import UNKNOWN_PART, repair_timezone
+from skylarder.functions.places import UNKNOWN_PART, UNKNOWN_PLACE, place_name, repair_timezone
 from skylarder.functions.times import compact_time, epoch_to_date, epoch_to_iso
 from skylarder.operators.grids import time_grid, zip_short
+from skylarder.operators.nearest_place import nearest_place
 from skylarder.operators.places import enrich_place
 
 # Decimals of measures and of coordinates; the default time zone.
@@ -68,18 +69,21 @@ def format_weather(
     as_of: datetime | None = None,
     keep: Sequence[str] = (),
     compat: bool = False,
+    within_km: float | None = None,
 ) -> DataFrame:
     """Raw weather with a named location in place of its metadata.
 
-    Byte-string time zones are repaired unless ``compat`` asks for them as landed.
+    A location is the place at the same rounded coordinates, or with ``within_km`` the
+    nearest place no farther than that. Byte-string time zones are repaired unless
+    ``compat`` asks for them as landed.
     """
-    named = enrich_place(
-        raw.withColumns({"__la": F.col("metadata.latitude"), "__lo": F.col("metadata.longitude")}),
-        geo,
-        "__la",
-        "__lo",
-        name="__place",
-    )
+    at = raw.withColumns({"__la": F.col("metadata.latitude"), "__lo": F.col("metadata.longitude")})
+    if within_km is None:
+        named = enrich_place(at, geo, "__la", "__lo", name="__place")
+    else:
+        label = place_name(F.col("city"), F.col("town"), F.col("country"))
+        found = nearest_place(at, geo, "__la", "__lo", label, name="__found", within_km=within_km)
+        named = found.withColumn("__place", F.coalesce("__found", F.lit(UNKNOWN_PLACE)))
     zone = F.col("metadata.timezone")
     return named.select(
         *keep,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -18,6 +18,9 @@ from skylarder.sources.snapshots import STAMP_FORMAT
 
 log = logging.getLogger(__name__)
 
+#: days of a batch that are named to prune the index
+MAX_DAYS = 4096
+
 # how each file ending is written
 FORMATS = {"parquet": "parquet", "json": "text", "jsonl": "text", "rows.json": "json"}
 
@@ -86,19 +89,39 @@ def mirror_snapshot(spark: SparkSession, path: str, mirror_root: str, **options)
     return True
 
 
-def write_index(df: DataFrame, index_path: str, doc_id: Column | None = None) -> int:
+def days_of(df: DataFrame, at: str = "@timestamp", most: int = MAX_DAYS) -> Callable[[Column], Column]:
+    """A filter on the day (the date in front of ``at``) that keeps the days of ``df``.
+
+    The days come to the driver as literals, so that partitions are pruned when the plan
+    is made; beyond ``most`` of them every day is kept.
+    """
+    day = F.substring(F.col(at), 1, 10)
+    days = [r[0] for r in df.select(day).where(day.isNotNull()).distinct().limit(most + 1).collect()]
+    if len(days) > most:
+        return lambda c: F.lit(True)
+    return lambda c: c.isin(days) | c.isNull()
+
+
+def write_index(df: DataFrame, index_path: str, doc_id: Column | None = None, at: str = "@timestamp") -> int:
     """Append the documents that ``index_path`` does not hold yet; returns how many.
 
-    A run repeated after a failure adds nothing twice. ``doc_id`` says what makes a
-    document the same; by default its whole content.
+    The index is partitioned by the day of ``at``, and a document's identity holds that
+    time, so only the days of ``df`` are read. Documents without such a column make an
+    index without days, read whole. A run repeated after a failure adds nothing twice.
+    ``doc_id`` says what makes a document the same; by default its whole content.
     """
     from skylarder.operators.quality import stage_count
     from skylarder.plans.index import index_docs
 
     spark = df.sparkSession
-    existing = or_empty(
-        spark, lambda: spark.read.schema("doc_id string").parquet(index_path), "doc_id string", "empty"
-    )
-    added, seen = stage_count(index_docs(df, existing, doc_id), "added")
-    added.write.mode("append").parquet(index_path)
+    held = "doc_id string, day string"
+    existing = or_empty(spark, lambda: spark.read.schema(held).parquet(index_path), held, "empty")
+    by_day = ["day"] if at in df.columns else []
+    if by_day:
+        existing = existing.where(days_of(df, at)(F.col("day")))
+    docs = index_docs(df, existing, doc_id)
+    if by_day:
+        docs = docs.withColumn("day", F.substring(F.col(at), 1, 10))
+    added, seen = stage_count(docs, "added")
+    added.write.mode("append").partitionBy(*by_day).parquet(index_path)
     return seen.get["rows"]

@@ -101,3 +101,64 @@ def observations(events: DataFrame, customers: DataFrame) -> DataFrame:
         )
         .alias("daily"),
     )
+
+
+def menus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Menus of nine days, three days apart, each of some of the parts."""
+    day = F.expr("TIMESTAMP '2024-01-03 00:00:00' + make_dt_interval(p_size % 9 * 3)")
+    dated = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("meal_id"), day.alias("snapshot_at"))
+    return menu(spark, sf_dir).join(dated, "meal_id")
+
+
+def crowded_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as places: a third within a few hundred metres, the others around the globe, poles included."""
+    k = F.col("s_suppkey")
+    crowd = k % 3 == 0
+    return table(spark, sf_dir, "supplier").select(
+        F.when(crowd, 48.0 + k * 0.0001).otherwise(k * 17 % 181 - 90.0).alias("lat"),
+        F.when(crowd, 2.0 + k * 0.0001).otherwise(k * 101 % 361 - 180.0).alias("lon"),
+        F.col("s_name").alias("city"),
+    )
+
+
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers around the globe, on the poles and on both sides of the date line."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", (k * 37 % 181 - 90.0).alias("lat_here"), (k * 73 % 361 - 180.0).alias("lon_here")
+    )
+
+
+def land_lake(spark: SparkSession, sf_dir: str, lake) -> None:
+    """Files as a lake's sources land them: meal shards and responses as JSON, lookups beside them."""
+    from skylarder.operators import renest
+
+    raw = raw_meals(spark, sf_dir)
+    shards = renest(raw, items=raw.columns, order=[F.col("idMeal")], keys=["strCategory"], name="meals", max_items=4096)
+    shards.select(F.to_json(F.struct("meals")).alias("value")).write.option("maxRecordsPerFile", 1).text(lake.meal_shards)
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    reading = event_temperature()
+    responses = table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 25 * 2.0).alias("latitude"),
+        (F.col("user_id") / 4.0).alias("longitude"),
+        F.lit(1.0).alias("elevation"),
+        F.when(F.col("event_type") == "view", "b'Etc/UTC'").otherwise("Etc/UTC").alias("timezone"),
+        seconds.alias("current_time"),
+        F.array(reading, F.col("value") % 100, F.col("value") / 8).alias("current_values"),
+        seconds.alias("hourly_start"),
+        (seconds + 7200).alias("hourly_end"),
+        F.lit(3600).alias("hourly_interval"),
+        F.array(reading, F.col("value") % 100).alias("hourly_values"),
+        seconds.alias("daily_start"),
+        (seconds + 86_400).alias("daily_end"),
+        F.lit(86_400).alias("daily_interval"),
+        F.array(F.col("value") % 12).alias("daily_values"),
+    )
+    responses.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(lake.responses)
+    advice(spark, sf_dir).orderBy("pos").select("temperature", "advice").write.csv(lake.advice, sep=";", header=True)
+    table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 25 * 2.0).alias("lat"),
+        (F.col("c_custkey") / 4.0).alias("lon"),
+        F.col("c_name").alias("city"),
+        F.col("c_mktsegment").alias("country"),
+    ).write.json(lake.geo)

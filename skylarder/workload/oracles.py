@@ -306,3 +306,85 @@ FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_i
 ORACLES["stream_throttle"] = f"SELECT event_id, user_id FROM ({ORACLES['throttle']})"
 
 ORACLES["stream_recommend"] = ORACLES["recommend"]
+
+ORACLES["nearest_place"] = """
+WITH c AS (SELECT c_custkey, radians(c_custkey * 37 % 181 - 90.0::DOUBLE) AS la,
+             radians(c_custkey * 73 % 361 - 180.0::DOUBLE) AS lo FROM customer),
+  s AS (SELECT s_name,
+          radians(CASE WHEN s_suppkey % 3 = 0 THEN 48 + s_suppkey * 0.0001::DOUBLE ELSE s_suppkey * 17 % 181 - 90.0 END) AS pa,
+          radians(CASE WHEN s_suppkey % 3 = 0 THEN 2 + s_suppkey * 0.0001::DOUBLE ELSE s_suppkey * 101 % 361 - 180.0 END) AS po
+        FROM supplier),
+  d AS (SELECT c_custkey, s_name, round(2 * 6371008.8::DOUBLE * asin(least(1.0::DOUBLE, sqrt(
+          sin((pa - la) / 2) ** 2 + cos(la) * cos(pa) * sin((po - lo) / 2) ** 2))))::BIGINT AS m FROM c, s)
+SELECT c_custkey, arg_min(s_name, {'m': m, 'n': s_name}) AS place, min(m) AS metres FROM d GROUP BY c_custkey"""
+
+ORACLES["as_of_menu"] = """
+WITH o AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL),
+  e AS (SELECT event_id, user_id, TIMESTAMP '1995-01-01' + to_days((event_id * 7 % 2500)::INTEGER) AS read_at FROM events)
+SELECT event_id, o_orderkey, o_orderdate
+FROM e ASOF LEFT JOIN o ON user_id = o_custkey AND read_at >= o_orderdate"""
+
+_DIGITS = "('0x' || substr(md5(event_id::VARCHAR || '|menu'), 1, 15))::BIGINT"
+
+ORACLES["recommend_history"] = f"""
+WITH a AS ({_SIZE_ADVICE}),
+  d AS (SELECT *, TIMESTAMP '2024-01-03' + to_days((p_size % 9 * 3)::INTEGER) AS snap FROM part),
+  m AS (SELECT *, row_number() OVER (PARTITION BY snap ORDER BY md5(p_partkey::VARCHAR), p_partkey) - 1 AS pos,
+          count(*) OVER (PARTITION BY snap) AS n FROM d),
+  s AS (SELECT DISTINCT snap, n FROM m),
+  e AS (SELECT events.*, {_TEMPERATURE} AS t, snap, {_DIGITS} % n AS slot
+        FROM events ASOF LEFT JOIN s ON ts >= s.snap),
+  advised AS (SELECT event_id, arg_min(v, {{'d': abs(k - t), 'p': p}}) AS recommended_advice
+              FROM e, a WHERE t IS NOT NULL GROUP BY event_id)
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "@timestamp", {_LOCATION},
+  t AS current_temperature, value % 100 AS relative_humidity, value / 8 AS wind_speed,
+  recommended_advice, {_category('t')} AS temperature_category,
+  CASE WHEN event_type <> 'view' THEN value % 12 END AS uv_index_max,
+  p_name AS suggested_meal, CASE WHEN p_name IS NOT NULL THEN {_prep_time('p_name')}::VARCHAR || ' minutes' END AS preparation_time,
+  p_type AS instructions, p_brand || ': ' || p_size AS ingredients,
+  p_brand AS meal_category, p_type AS meal_region
+FROM e JOIN advised USING (event_id) LEFT JOIN m ON m.snap = e.snap AND m.pos = e.slot
+  LEFT JOIN customer ON user_id = c_custkey"""
+
+ORACLES["index_recommendations"] = f"""
+SELECT DISTINCT strftime(ts, '%Y-%m-%d %H:%M:%S') AS "@timestamp", location, latitude, longitude,
+  strftime(ts, '%Y-%m-%d') AS day
+FROM (SELECT ts, {_TEMPERATURE} AS t, {_LOCATION} FROM events LEFT JOIN customer ON user_id = c_custkey)
+WHERE t IS NOT NULL"""
+
+ORACLES["stream_throttle_keyed"] = ORACLES["stream_throttle"]
+
+ORACLES["stream_first_seen_keyed"] = ORACLES["stream_first_seen"]
+
+_AS_FLOAT = "CAST({} AS FLOAT)::DOUBLE"
+
+ORACLES["stream_lake"] = f"""
+WITH RECURSIVE e AS (SELECT event_id, user_id, date_trunc('second', ts) AS moment, event_type, value FROM events),
+  kept AS (
+    SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY moment, event_id) = 1
+    UNION ALL
+    SELECT n.* FROM (
+      SELECT e.*, row_number() OVER (PARTITION BY e.user_id ORDER BY e.moment, e.event_id) AS rn
+      FROM kept k JOIN e ON e.user_id = k.user_id AND e.moment >= k.moment + INTERVAL 1 DAY
+    ) t, LATERAL (SELECT t.event_id, t.user_id, t.moment, t.event_type, t.value) n
+    WHERE rn = 1
+  ),
+  a AS ({_SIZE_ADVICE}),
+  m AS (SELECT *, row_number() OVER (ORDER BY md5(meal_id), meal_id) - 1 AS pos FROM ({ORACLES['format_meals']})),
+  r AS (SELECT *, {_half_even(_AS_FLOAT.format('(' + _TEMPERATURE + ')'), 1)} AS t,
+          coalesce(c_name || ', ' || c_mktsegment, 'Unknown Location') AS location,
+          user_id % 25 * 2.0::DOUBLE AS latitude, user_id / 4.0::DOUBLE AS longitude
+        FROM kept LEFT JOIN customer ON user_id = c_custkey),
+  k AS (SELECT *, location || '|' || latitude::VARCHAR || '|' || longitude::VARCHAR || '|'
+          || strftime(moment, '%Y-%m-%dT%H:%M:%S+00:00') AS key FROM r),
+  advised AS (SELECT event_id, arg_min(v, {{'d': abs(a.k - t), 'p': p}}) AS recommended_advice
+              FROM k, a WHERE t IS NOT NULL GROUP BY event_id)
+SELECT strftime(moment, '%Y-%m-%d %H:%M:%S') AS "@timestamp", 'Etc/UTC' AS timezone, t AS current_temperature,
+  {_half_even(_AS_FLOAT.format('value % 100'), 1)} AS relative_humidity,
+  {_half_even(_AS_FLOAT.format('value / 8'), 1)} AS wind_speed,
+  location, latitude, longitude, recommended_advice, {_category('t')} AS temperature_category,
+  {_half_even(_AS_FLOAT.format('value % 12'), 1)} AS uv_index_max,
+  meal_name AS suggested_meal, m.preparation_time::VARCHAR || ' minutes' AS preparation_time,
+  instructions, ingredients, category AS meal_category, region AS meal_region
+FROM k JOIN advised USING (event_id)
+  JOIN m ON m.pos = ('0x' || substr(md5(key || '|menu'), 1, 15))::BIGINT % (SELECT count(*) FROM m)"""

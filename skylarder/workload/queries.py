@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from skylarder import functions as fn
 from skylarder import operators as op
 from skylarder import plans, streaming
+from skylarder.plans.index import observation_id
+from skylarder.schemas import RECOMMENDATIONS
 from skylarder.session import shared_dir
+from skylarder.sinks.writers import write_index
 from skylarder.workload import inputs
 from skylarder.workload.inputs import table
 
@@ -337,6 +340,25 @@ def place_name(spark, sf):
     return op.enrich_place(customers, _geo(spark, sf), "lat_here", "lon_here").select("c_custkey", "place")
 
 
+@query
+def nearest_place(spark, sf):
+    """The nearest place on the globe, however far, and the metres to it."""
+    return op.nearest_place(
+        inputs.positions(spark, sf), inputs.crowded_places(spark, sf), "lat_here", "lon_here", F.col("city"), metres="metres"
+    ).select("c_custkey", "place", "metres")
+
+
+@query
+def as_of_menu(spark, sf):
+    """Readings at invented times, each with its customer's latest order by then."""
+    at = F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00' + make_dt_interval(cast(event_id * 7 % 2500 AS int))")
+    readings = table(spark, sf, "events").select("event_id", "user_id", at.alias("read_at"))
+    met = op.asof_join(
+        readings, table(spark, sf, "orders"), "read_at", "o_orderdate", [("user_id", "o_custkey")], ["o_orderkey"], "last"
+    )
+    return met.select("event_id", "last.o_orderkey", "last.o_orderdate")
+
+
 # --- aggregation, dedup -----------------------------------------------------
 
 
@@ -532,6 +554,26 @@ def recommend(spark, sf):
     )
 
 
+@query
+def recommend_history(spark, sf):
+    """Every observation of a history from the menu that was valid at its time."""
+    weather = inputs.observations(table(spark, sf, "events"), table(spark, sf, "customer"))
+    return plans.recommend_history(
+        weather, inputs.menus(spark, sf), inputs.advice(spark, sf), key="event_id", seed=SEED
+    )
+
+
+@query
+def index_recommendations(spark, sf):
+    """The index after the first half of the month, the whole, and the whole again."""
+    path = f"{shared_dir(spark, 'index')}/enhanced"
+    events, customers = table(spark, sf, "events"), table(spark, sf, "customer")
+    for some in (events.where("ts < '2024-01-16'"), events, events):
+        served = plans.recommend(inputs.observations(some, customers), inputs.menu(spark, sf), inputs.advice(spark, sf))
+        write_index(served, path, observation_id(served))
+    return spark.read.parquet(path).select("@timestamp", "location", "latitude", "longitude", F.col("day").cast("string"))
+
+
 @query
 def index_docs(spark, sf):
     """Every event arrives twice; those of one type are already in the index."""
@@ -600,3 +642,33 @@ def stream_recommend(spark, sf):
         seed=SEED,
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@query
+def stream_throttle_keyed(spark, sf):
+    """The throttle with state per key, in the state store."""
+    base = shared_dir(spark, "stream-throttle-keyed")
+    kept = streaming.throttle_keyed(_event_stream(spark, sf), "user_id", "ts", THROTTLE_SECONDS, "event_id", "1 day")
+    streaming.to_files(kept.select("event_id", "user_id"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id bigint, user_id bigint").parquet(f"{base}/out")
+
+
+@query
+def stream_first_seen_keyed(spark, sf):
+    base = shared_dir(spark, "stream-first-seen-keyed")
+    first = streaming.first_seen_keyed(_event_stream(spark, sf), "user_id", ["ts", "event_id"])
+    first = first.select("user_id", "event_id", "event_type")
+    streaming.to_files(first, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(first.schema).parquet(f"{base}/out")
+
+
+@query
+def stream_lake(spark, sf):
+    """Meals and responses landed as files, through all layers of the lake, to its recommendations."""
+    lake = plans.Lake(shared_dir(spark, "lake"))
+    inputs.land_lake(spark, sf, lake)
+    streaming.lake_stream(
+        spark, lake, f"{lake.root}/checkpoint", streaming.AVAILABLE, SEED, THROTTLE_SECONDS
+    ).awaitTermination()
+    store = streaming.Batches(spark, lake.root)
+    return store.read("enhanced_recommendations", RECOMMENDATIONS).drop("run", "batch")

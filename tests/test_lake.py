@@ -30,7 +30,7 @@ from skylarder.sources import (
     read_snapshot,
 )
 
-AT = datetime(2025, 6, 10, 19, 36, 51)
+AT = datetime(2031, 2, 3, 4, 5, 6)
 
 
 def put(path, text):
@@ -88,7 +88,7 @@ def test_snapshots_by_name_time_and_file_time(spark, tmp_path):
         read_snapshot(spark, root, "formatted_meals", "id bigint", on_missing="error")
     new = write_snapshot(df.withColumn("v", F.lit("new")), root, "formatted_meals", AT)
     old = write_snapshot(df, root, "formatted_meals", AT - timedelta(days=1))
-    assert new.endswith("/formatted_meals_20250610_193651.parquet")
+    assert new.endswith("/formatted_meals_20310203_040506.parquet")
     for folder, age in ((new, 1000), (old, 10)):
         for part in os.listdir(folder):
             stamp = datetime.now().timestamp() - age
@@ -131,7 +131,7 @@ def test_envelopes_are_indented_one_per_file_and_read_back(spark, tmp_path):
     back = read_snapshot(spark, str(tmp_path), "raw_meals", RAW_MEALS, "json", multiLine=True)
     assert sorted(r.meals[0].idMeal for r in back.collect()) == ["1", "2"]
     assert mirror_snapshot(spark, path, str(tmp_path / "copy"))
-    copy = f"{tmp_path}/copy/backup/raw_meals_20250610_193651.json"
+    copy = f"{tmp_path}/copy/backup/raw_meals_20310203_040506.json"
     assert spark.read.schema(RAW_MEALS).json(copy, multiLine=True).count() == 2
 
 
@@ -144,7 +144,7 @@ def test_jsonl_omits_the_optional_group_only_when_absent(spark):
 def test_mirror_goes_by_layer_and_its_failure_does_not_raise(spark, tmp_path):
     path = write_snapshot(spark.range(5), str(tmp_path / "usage"), "x", AT)
     assert mirror_snapshot(spark, path, str(tmp_path / "mirror"))
-    assert spark.read.parquet(f"{tmp_path}/mirror/usage/x_20250610_193651.parquet").count() == 5
+    assert spark.read.parquet(f"{tmp_path}/mirror/usage/x_20310203_040506.parquet").count() == 5
     blocked = tmp_path / "blocked"
     blocked.write_text("a file, not a folder")
     assert mirror_snapshot(spark, path, str(blocked)) is False
@@ -176,15 +176,15 @@ def lake(tmp_path):
     ]}))
     put(root / "landing/meals/b.json", json.dumps({"meals": [{"idMeal": "1", "strMeal": "copy"}]}))
     response = {
-        "latitude": 48.8534, "longitude": 2.3488, "elevation": 42.0, "timezone": "b'Europe/Paris'",
-        "current_time": 1749583800, "current_values": [20.5, 60.0, 9.8],
-        "hourly_start": 1749506400, "hourly_end": 1749592800, "hourly_interval": 3600,
-        "hourly_values": [18.0 + (i % 22) / 2 for i in range(24)],
-        "daily_start": 1749506400, "daily_end": 1749592800, "daily_interval": 86400, "daily_values": [6.6],
+        "latitude": -7.1234, "longitude": 151.25, "elevation": 3.0, "timezone": "b'Test/Reef'",
+        "current_time": 1927857600, "current_values": [31.5, 77.0, 4.25],
+        "hourly_start": 1927843200, "hourly_end": 1927929600, "hourly_interval": 3600,
+        "hourly_values": [26.0 + (i % 22) / 4 for i in range(24)],
+        "daily_start": 1927843200, "daily_end": 1927929600, "daily_interval": 86400, "daily_values": [11.4],
     }
     put(root / "landing/weather/now.json", json.dumps(response) + "\n")
-    put(root / "advice/advice.csv", "temperature;advice\n20;stroll\n21;swim\n")
-    put(root / "geo/geo.json", json.dumps({"lat": 48.85, "lon": 2.35, "city": "Paris", "country": "France"}))
+    put(root / "advice/advice.csv", "temperature;advice\n31;stroll\n32;swim\n")
+    put(root / "geo/geo.json", json.dumps({"lat": -7.12, "lon": 151.25, "city": "Reefton", "country": "Testland"}))
     return Lake(str(root), mirror=str(tmp_path / "mirror"))
 
 
@@ -201,12 +201,12 @@ def test_whole_run_twice(spark, lake):
         "duplicate_readings": 2, "distinct_patterns": 22,
         "indexed_temperature": 24, "indexed_enhanced": 1,
     }
-    record = json.loads(lines_of(f"{lake.usage}/enhanced_recommendations_20250610_193651.jsonl")[0])
+    record = json.loads(lines_of(f"{lake.usage}/enhanced_recommendations_20310203_040506.jsonl")[0])
     assert record == {
-        "@timestamp": "2025-06-10 19:30:00", "timezone": "Europe/Paris", "current_temperature": 20.5,
-        "relative_humidity": 60.0, "wind_speed": 9.8, "location": "Paris, France",
-        "latitude": 48.8534, "longitude": 2.3488, "recommended_advice": "stroll",
-        "temperature_category": "moderate", "uv_index_max": 6.6, "suggested_meal": "Bean stew",
+        "@timestamp": "2031-02-03 04:00:00", "timezone": "Test/Reef", "current_temperature": 31.5,
+        "relative_humidity": 77.0, "wind_speed": 4.2, "location": "Reefton, Testland",
+        "latitude": -7.1234, "longitude": 151.25, "recommended_advice": "stroll",
+        "temperature_category": "warm", "uv_index_max": 11.4, "suggested_meal": "Bean stew",
         "preparation_time": "89 minutes", "instructions": "Soak.; Boil.", "ingredients": "Bean: ",
         "meal_category": None, "meal_region": None,
     }
@@ -224,6 +224,6 @@ def test_whole_run_in_compat_mode_and_without_meals(spark, lake):
     open(lake.meal_shards + "/b.json", "w").write("{}")
     counts = run_once(spark, lake, AT, compat=True)
     assert counts["formatted_meals"] == 0 and counts["duplicate_readings"] == 0
-    record = json.loads(lines_of(f"{lake.usage}/enhanced_recommendations_20250610_193651.jsonl")[0])
-    assert record["timezone"] == "b'Europe/Paris'"
+    record = json.loads(lines_of(f"{lake.usage}/enhanced_recommendations_20310203_040506.jsonl")[0])
+    assert record["timezone"] == "b'Test/Reef'"
     assert not set(record) & set(MEAL_COLUMNS)

@@ -125,7 +125,9 @@ def test_random_pick_is_the_same_beyond_the_broadcast_bound(spark, monkeypatch):
     small = sorted(op.random_pick(df, choices, "key", "c").collect())
     monkeypatch.setattr(sizing, "MAX_ROWS", 299)
     large = op.random_pick(df, choices, "key", "c")
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    # no hint over the choices; the starts of the sorted slices, one row a partition, may have one
+    hinted = large._jdf.queryExecution().analyzed().toString().split("ResolvedHint")[1:]
+    assert all(part.splitlines()[1].lstrip(" :+-|").startswith("Project [__slice#") for part in hinted)
     assert sorted(large.collect()) == small
     assert sizing.measure(choices) == (300, sum(len(f'{{"c":{i},"v":"x"}}') for i in range(300)))
 
