@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -43,3 +44,20 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="skylarder-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run whose result has been read."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are stored.
+
+    Its cleaner acts when the driver collects garbage, which a driver with little to do
+    puts off while the shuffle files of a long run pile up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
