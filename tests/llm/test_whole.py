@@ -104,3 +104,34 @@ def test_hidden_words_are_found_in_long_words_and_spaced_runs():
     assert reader.of_text("i" + "d" * 60 + "iot") == {0} and reader.of_text("i-d-i-o-t".replace("-", "-" * 15)) == {0}
     assert reader.of_text("there" * 9 + "1d10t" + "there" * 9) == {0}
     assert reader.of_text("t h e r e") == set() and reader.of_text("there" * 20) == set()
+
+
+def test_rows_of_one_id_are_cut_by_their_own_stretches(spark):
+    rng = random.Random(16)
+    passage, other = words(rng, 70), words(rng, 200)
+    rows = [(1, " ".join(words(rng, 20) + passage)), (2, " ".join(passage + words(rng, 40))), (2, " ".join(other)), (3, " ".join(other)), (3, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((r.doc_id, len(r.text.split())) for r in compact_windows.drop_repeats(docs).collect())
+    assert left == [(1, 90), (2, 40), (2, 200)]
+    cut = {(r.doc_id, r.first_id, r.n_words) for r in compact_windows.repeats(docs).where("NOT kept").collect()}
+    assert cut == {(2, 1, 70), (3, 2, 200)}
+
+
+def test_every_repeated_run_is_covered(spark):
+    """All runs of 50 words that an earlier text holds, by brute force over a corpus of pasted passages."""
+    rng = random.Random(17)
+    pool = [words(rng, rng.randint(30, 90)) for _ in range(12)]
+    texts = [sum((rng.choice(pool) if rng.random() < 0.5 else words(rng, rng.randint(1, 60)) for _ in range(rng.randint(1, 6))), []) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    spans = {}
+    for r in compact_windows.repeats(docs).where("NOT kept").collect():
+        spans.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    seen, missed, n = set(), 0, 0
+    for i, t in enumerate(texts):
+        runs = [tuple(t[k : k + 50]) for k in range(len(t) - 49)]
+        for k, run in enumerate(runs):
+            if run in seen:
+                n += 1
+                missed += not any(a <= k and k + 50 <= b for a, b in spans.get(i, []))
+        seen.update(runs)
+    assert n > 500 and missed == 0
