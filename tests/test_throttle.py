@@ -94,7 +94,7 @@ def solve(times, blocks, gap, fan, batch):
     st.integers(1, 6),
     st.integers(1, 50),
 )
-@settings(max_examples=500, deadline=None)
+@settings(max_examples=150, deadline=None)
 def test_steps_equal_greedy_loop(times, gap, gaps_per_block, fan, rows_per_block, batch):
     kept, at = [], None
     times = sorted(times)
@@ -161,6 +161,6 @@ def test_a_dense_key_loads_no_task(spark, monkeypatch):
 
 def test_blocks_far_apart_and_an_empty_table(spark):
     rows = [(i, "k", START + timedelta(days=400 * i, seconds=s)) for i, s in enumerate((0, 1, 2))]
-    assert run(spark, rows, 1, fan=2) == [0, 1, 2]
+    assert run(spark, rows, 1, fan=16) == [0, 1, 2]
     empty = spark.createDataFrame([], "id bigint, key string, at timestamp")
     assert throttle(empty, "key", "at", 5, "id").count() == 0
