@@ -125,6 +125,8 @@ def test_main_text_leaves_out_what_is_not_the_article():
     <div class="ad">buy</div><form>f</form></main><aside>s</aside><section id="comments"><p>r</p></section><footer>f</footer>"""
     nothing = {"main": "", "drop": []}
     assert html_templates.main_text(page, nothing) == "A & B One bold Two words"
+    named = '<main><div class="share-price-history"><p>Shares rose.</p></div><div class="social-policy">Law</div><div class="x cookie_notice">c</div><p>Body</p></main>'
+    assert html_templates.main_text(named, nothing) == "Shares rose. Law Body"
     assert html_templates.main_text("", nothing) == "" and html_templates.main_text("a < b <p>c", nothing) == "a < b c"
 
 
