@@ -9,7 +9,8 @@ held by a third of all rows costs one row per task; the join back to the rows is
 
 Defined cases: a null text is the empty text. A row with a null id belongs to its group
 and counts, but stays only where no row of the group has an id. Rows repeating both id
-and text are one document. An empty table gives an empty result. Extra columns, whatever
+and text are listed and counted each, with the same verdict; :func:`drop_copies` keeps one
+of them. An empty table gives an empty result. Extra columns, whatever
 their names, pass through :func:`drop_copies` unchanged and play no part.
 """
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,8 @@ MAX_PIECE = 16
 MAX_UNIT = 64
 #: characters of a longer unit whose pieces are looked up at once
 WINDOW = 1 << 14
-MAX_UNITS = 200_000
+#: units that a worker remembers, and their ids; beyond either it starts anew
+MAX_UNITS, MAX_IDS = 500_000, 1 << 23
 #: what a character without a piece costs, for each of its bytes
 BYTE_SCORE = -100.0
 _BASE = np.uint64(0x100000001B3)
@@ -73,8 +75,12 @@ class Codec:
         if all(float(x).is_integer() for x in log_probability):  # ranks of merges: by Zipf's law their logarithms
             log_probability = -np.log(2 - np.minimum(log_probability, 0))
         self.bytes = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
-        self.raw_of = {i: p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p, i in usable}
-        self.raw_of |= {int(i): bytes([b]) for b, i in enumerate(self.bytes)}
+        raw_of = {i: p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p, i in usable}
+        raw_of |= {int(i): bytes([b]) for b, i in enumerate(self.bytes)}
+        raw = [raw_of.get(i, b"") for i in range(len(pieces))]
+        self.raw_table = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_sizes = np.array([len(r) for r in raw], np.int64)
+        self.raw_starts = np.cumsum(self.raw_sizes) - self.raw_sizes
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in range(1, MAX_PIECE + 1):
             own = [(p, i) for p, i in usable if len(p) == n]
@@ -88,56 +94,86 @@ class Codec:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, np.ndarray] = {LITERAL: self.bytes[list(SPACE.encode())]}
+        #: number of each unit met, and of each word by itself; the ids of unit k are pool[starts[k]:][:sizes[k]]
+        self.number: dict[str, int] = {}
+        self.of_word: dict[str, int] = {}
+        self.pool, self.used = np.empty(1 << 20, np.int32), 0
+        self.starts, self.sizes = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        literal = self.bytes[list(SPACE.encode())]
+        self._keep([LITERAL], literal, np.array([len(literal)]))
+
+    def _keep(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at, need = len(self.number), self.used + len(ids)
+        if need > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.empty(need, np.int32)])
+        if at + len(units) > len(self.starts):
+            room = np.empty(at + len(units), np.int64)
+            self.starts, self.sizes = (np.concatenate([x[:at], room]) for x in (self.starts, self.sizes))
+        self.pool[self.used : need] = ids
+        self.sizes[at : at + len(units)] = sizes
+        self.starts[at : at + len(units)] = self.used + np.cumsum(sizes) - sizes
+        self.number.update(zip(units, range(at, at + len(units))))
+        self.used = need
 
     def viterbi(self, units: np.ndarray) -> list[np.ndarray]:
         """Ids of units of one length, given as rows of code points."""
+        ids, sizes = self.best(units)
+        return np.split(ids, np.cumsum(sizes)[:-1])
+
+    def best(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of one length, one unit after the other, and how many each has."""
         m, n = units.shape
+        # one row for each place, so that a step works on whole rows
+        units = np.ascontiguousarray(units.T)
         codes = units.astype(np.uint64)
-        best = np.full((m, n + 1), -np.inf)
-        best[:, 0] = 0
-        count = np.zeros((m, n + 1), np.int32)
-        back = np.zeros((m, n + 1), np.int32)
-        piece = np.full((m, n + 1), -1, np.int32)
+        best = np.full((n + 1, m), -np.inf)
+        best[0] = 0
+        count, back, piece = np.zeros((n + 1, m), np.int32), np.ones((n + 1, m), np.int32), np.full((n + 1, m), -1, np.int32)
         width = np.where(units < 0x80, 1, np.where(units < 0x800, 2, np.where(units < 0x10000, 3, 4)))
         # prefix hashes give the hash of any substring by one multiplication
-        prefix = np.zeros((m, n + 1), np.uint64)
+        prefix = np.zeros((n + 1, m), np.uint64)
         for k in range(n):
-            prefix[:, k + 1] = prefix[:, k] * _BASE + codes[:, k]
+            prefix[k + 1] = prefix[k] * _BASE + codes[k]
         powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(MAX_PIECE + 1)], np.uint64)
         for end in range(1, n + 1):
-            best[:, end] = best[:, end - 1] + BYTE_SCORE * width[:, end - 1]
-            count[:, end] = count[:, end - 1] + width[:, end - 1]
-            back[:, end] = 1
+            best[end] = best[end - 1] + BYTE_SCORE * width[end - 1]
+            count[end] = count[end - 1] + width[end - 1]
             for length, (keys, texts, ids, scores) in self.by_length.items():
                 if length > end:
                     break
-                key = prefix[:, end] - prefix[:, end - length] * powers[length]
+                key = prefix[end] - prefix[end - length] * powers[length]
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 hit = np.flatnonzero(keys[at] == key)
                 if not len(hit):
                     continue
-                hit = hit[(texts[at[hit]] == codes[hit, end - length : end]).all(1)]
-                score = best[hit, end - length] + scores[at[hit]]
-                pieces = count[hit, end - length] + 1
+                hit = hit[(texts[at[hit]].T == codes[end - length : end, hit]).all(0)]
+                score = best[end - length, hit] + scores[at[hit]]
+                pieces = count[end - length, hit] + 1
                 # later lengths are longer, so they win a tie
-                wins = (score > best[hit, end]) | ((score == best[hit, end]) & (pieces <= count[hit, end]))
+                wins = (score > best[end, hit]) | ((score == best[end, hit]) & (pieces <= count[end, hit]))
                 won = hit[wins]
-                best[won, end], count[won, end] = score[wins], pieces[wins]
-                back[won, end], piece[won, end] = length, ids[at[won]]
-        out: list[list[int]] = [[] for _ in range(m)]
-        at = np.full(m, n)
-        todo = np.arange(m)
-        while len(todo):  # all units walk their backpointers together
-            ids, ends = piece[todo, at[todo]], at[todo]
-            for r, i, e in zip(todo.tolist(), ids.tolist(), ends.tolist()):
-                if i >= 0:
-                    out[r].append(i)
-                else:
-                    out[r].extend(self.bytes[list(chr(units[r, e - 1]).encode("utf-8", "surrogatepass"))][::-1].tolist())
-            at[todo] -= back[todo, at[todo]]
+                best[end, won], count[end, won] = score[wins], pieces[wins]
+                back[end, won], piece[end, won] = length, ids[at[won]]
+        # all units walk their backpointers together
+        at, todo = np.full(m, n), np.arange(m)
+        whose, found, ends = [], [], []
+        while len(todo):
+            end = at[todo]
+            whose.append(todo)
+            found.append(piece[end, todo])
+            ends.append(end)
+            at[todo] = end - back[end, todo]
             todo = todo[at[todo] > 0]
-        return [np.array(x[::-1], np.int32) for x in out]
+        unit, ids, end = np.concatenate(whose), np.concatenate(found), np.concatenate(ends)
+        order = np.lexsort((end, unit))
+        unit, ids, end = unit[order], ids[order], end[order]
+        sizes = np.where(ids >= 0, 1, width[end - 1, unit])
+        out = np.repeat(ids, sizes)
+        firsts = np.cumsum(sizes) - sizes
+        for k in np.flatnonzero(ids < 0).tolist():  # characters without a piece go as bytes
+            raw = chr(units[end[k] - 1, unit[k]]).encode("utf-8", "surrogatepass")
+            out[firsts[k] : firsts[k] + len(raw)] = self.bytes[list(raw)]
+        return out.astype(np.int32), np.bincount(unit, sizes, m).astype(np.int64)
 
     def viterbi_long(self, unit: str) -> np.ndarray:
         """Ids of one unit of any length: pieces are looked up by windows, scores carry over their borders."""
@@ -190,31 +226,52 @@ class Codec:
         for u in units:
             by_size.setdefault(len(u), []).append(u)
         for n, own in by_size.items():
+            if n > MAX_UNIT:
+                found = [self.viterbi_long(u) for u in own]
+                self._keep(own, np.concatenate(found), np.array([len(x) for x in found]))
+                continue
             for k in range(0, len(own), 4096):
                 part = own[k : k + 4096]
                 codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n)
-                self.known.update(zip(part, self.viterbi(codes)))
+                self._keep(part, *self.best(codes))
+
+    def _numbers(self, texts: list[str]) -> list[list[int]]:
+        """The numbers of each text's units; new units are learned first."""
+        # without marks of their own, texts are words, looked up as they stand
+        plain = [t.split(" ") if t and SPACE not in t else None for t in texts]
+        others = [units_of(t) if p is None else None for t, p in zip(texts, plain)]
+        words = {w for p in plain if p for w in p if w not in self.of_word}
+        units = {SPACE + w: w for w in words}
+        new = set(units) | {u for o in others if o for u in o}
+        self._learn([u for u in new if u not in self.number])
+        self.of_word.update((w, self.number[u]) for u, w in units.items())
+        return [list(map((self.of_word if o is None else self.number).__getitem__, p if o is None else o)) for p, o in zip(plain, others)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each whole text."""
-        split = [units_of(t) for t in texts]
-        if len(self.known) > MAX_UNITS:
+        if len(self.number) > MAX_UNITS or self.used > MAX_IDS:
             self._forget()
-        known = self.known
-        new = [u for u in {u for s in split for u in s} if u not in known]
-        long = [u for u in new if len(u) > MAX_UNIT]
-        if new:
-            self._learn([u for u in new if len(u) <= MAX_UNIT] if long else new)
-        known.update((u, self.viterbi_long(u)) for u in long)
-        out = [np.concatenate([known[u] for u in s]) if s else np.empty(0, np.int32) for s in split]
-        for u in long:
-            del known[u]
-        return out
+        numbers = self._numbers(texts)
+        at = np.fromiter(chain.from_iterable(numbers), np.int64)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(sizes.sum())]
+        bounds = np.append(0, ends)[np.cumsum([len(n) for n in numbers])]
+        return np.split(ids, bounds[:-1])
+
+    def raw(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of the texts of ids, gathered from one table."""
+        flat = np.concatenate(ids)
+        sizes = self.raw_sizes[flat]
+        ends = np.cumsum(sizes)
+        table = self.raw_table[np.repeat(self.raw_starts[flat] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+        bounds = np.append(0, ends)[np.cumsum([0] + [len(x) for x in ids])].tolist()
+        # the first word has a mark of a space, too
+        return [table[a + 1 : b] for a, b in zip(bounds, bounds[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; their bytes are joined before they become characters."""
-        raw_of = self.raw_of
-        return b"".join([raw_of[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]  # the first word has a mark, too
+        return self.raw([ids])[0].decode("utf-8", "surrogatepass")
 
 
 def units_of(text: str) -> list[str]:
@@ -263,12 +320,12 @@ def summary(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             for k in range(0, len(texts), 128):
                 part = texts[k : k + 128]
                 ids = own.encode(part)
-                back = [own.decode(x) for x in ids]
+                back = own.raw(ids)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(k, len(part)), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                     pa.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in back], pa.int64()),
-                     pa.array([x == y for x, y in zip(part, back)])],
+                     pa.array([zlib.crc32(x) for x in back], pa.int64()),
+                     pa.array([x.encode("utf-8", "surrogatepass") == y for x, y in zip(part, back)])],
                     ["doc_id", "n_pieces", "ids_crc32", "text_crc32", "round_trip"],
                 )
 
