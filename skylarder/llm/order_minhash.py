@@ -7,11 +7,14 @@ band of the shingle sequences: with L aligned of m and n, similarity is L / (m +
 Groups are the components of verified links.
 
 Copies collapse to one representative first. In a bucket, all members are compared with
-its most central one. While its members are in several components, more of them lead, four
-times as many a round, and are compared with all members of other components. So no link
-that a bucket holds between components is left out, and a large group costs one comparison
-per member and bucket. As 1 - similarity is a metric, a pair needs no comparison if one is
-nearer to the centre than the other can be by more than the threshold allows.
+its most central one, so a large group costs one comparison per member and bucket. Members
+of buckets that still hold several components (unlike texts around a common line, families
+that drift) meet again by a prefix filter. At the threshold two texts have at least
+``need`` = 0.8 of the longer one's labelled shingles in common, so they share one of the
+rarest of each, all but ``need`` - 1 of them; a common line sorts last and makes no pairs.
+Under such a shingle members of different components are compared in rounds of growing
+numbers of leaders, until it holds one component or each has met all others. So no link
+that a bucket holds between components is left out.
 
 Short texts sample fewer shingles, and those near the boundary of lengths sample both ways,
 so that a pair above the threshold always shares a way.
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylarder.llm.graph import components
+from skylarder.llm.hot import join_counted
 from skylarder.session import shared_dir
 
 SHINGLE = 5
@@ -223,18 +227,52 @@ def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """a, b, similarity (0 if certainly below ``least``), most (what it is at most) for pairs; ``texts`` has id, grams."""
+    """a, b, similarity (0 if certainly below ``least``) for pairs; ``texts`` has id, grams."""
 
     def run(batches):
         for batch in batches:
             own = [(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in zip(batch["x"], batch["y"])]
-            most = [most_similar(x, y) for x, y in own]
-            sims = [similarity(x, y, least) if m >= least - 1e-9 else 0.0 for (x, y), m in zip(own, most)]
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": sims, "most": most})
+            sims = [similarity(x, y, least) if most_similar(x, y) >= least - 1e-9 else 0.0 for x, y in own]
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": sims})
 
     there = pairs.join(texts.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     there = there.join(texts.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
-    return there.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similarity double, most double")
+    return there.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similarity double")
+
+
+def gram_rows(texts: DataFrame) -> DataFrame:
+    """id, own (which of the id's texts), size, gram: a row for each labelled shingle."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                texts = part.column("grams").to_pylist()
+                own = [labelled(np.frombuffer(x, "<u4").astype(np.uint64)) for x in texts]
+                sizes = np.array([len(x) for x in own], np.int32)
+                each = [
+                    np.array(part.column("id").to_pylist(), np.int64),
+                    np.array([xxhash.xxh64_intdigest(x) for x in texts], np.uint64).view(np.int64),
+                    sizes,
+                ]
+                columns = [np.repeat(x, sizes) for x in each] + [np.concatenate(own).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["id", "own", "size", "gram"])
+
+    return texts.mapInArrow(run, "id long, own long, size int, gram long")
+
+
+def prefixes(rows: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """id, size, gram: texts with ``least`` of their shingles in common share one of these.
+
+    Of a text's shingles in order of their counts, all but ``need`` - 1. Those of one text
+    only come first in that order and are in no table: ``counts`` (gram, n) has n > 1.
+    """
+    text = Window.partitionBy("id", "own")
+    ranked = join_counted(rows, counts, "gram", "n").withColumns(
+        {"shared": F.count("*").over(text), "at": F.row_number().over(text.orderBy("n", "gram"))}
+    )
+    need = F.ceil(F.col("size") * F.lit(least) - F.lit(1e-9))
+    return ranked.where(F.col("at") <= F.col("shared") + 1 - need).select("id", "size", "gram")
 
 
 def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -265,25 +303,32 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     checked = stored(pairs, "pairs-0")
     measured = stored(verify(checked, texts, least), "measured-0")
     found = measured.where(F.col("similarity") >= least - 1e-12).select("a", "b").distinct()
-    # per member how similar it is to the centre, at least and at most: 1 - similarity is a metric
-    bounds = stored(measured.groupBy("a", "b").agg(F.min("similarity").alias("low"), F.max("most").alias("high")), "bounds")
-    ours = members.join(centre.select("bucket", (-F.col("c.at")).alias("centre")), "bucket").where("id <> centre")
-    ours = ours.select("bucket", "n", "id", F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).join(bounds, ["a", "b"])
-    share = F.pmod(F.xxhash64("bucket", "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rest = stored(ours.select("bucket", "id", "n", "low", "high", share.alias("at")), "rest")
-    labels, step = components(found).withColumnRenamed("node", "id"), 0
+    labels = components(found).withColumnRenamed("node", "id")
+
+    def named(rows: DataFrame, key: str) -> DataFrame:
+        """Rows with their component, of keys that hold several."""
+        rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        mixed = rows.groupBy(key).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        return rows.join(mixed.select(key), key, "left_semi")
+
+    left = stored(named(members, "bucket").select("id").distinct(), "left")
+    rows = stored(gram_rows(only(texts, left)), "grams")
+    counts = stored(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    keys = stored(prefixes(rows, counts, least).distinct(), "prefixes")
+    crowds = stored(keys.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "crowds")
+    share = F.pmod(F.xxhash64("gram", "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rest, step = join_counted(keys, crowds, "gram", "n").withColumn("at", share), 0
     while True:
-        named = rest.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        named = stored(named.join(mixed, "bucket", "left_semi"), f"mixed-{step}")
-        if named.where(F.col("n") > 4**step).isEmpty():
+        rest = stored(named(rest.where(F.col("n") > 4**step), "gram"), f"mixed-{step}")
+        if rest.isEmpty():
             return copies.select("id", "k1", "k2", "rep"), found
         step += 1
         # each round four times as many lead, and are compared with all that come after them
-        lead = named.where(F.floor(F.col("at") * F.col("n") / 4 ** (step - 1)).between(0 if step == 1 else 1, 3))
-        lead = lead.select("bucket", *(F.col(c).alias(f"{c}_") for c in ("id", "low", "high", "at", "label")))
-        apart = (F.col("low") - F.col("high_") > 1 - least + 1e-9) | (F.col("low_") - F.col("high") > 1 - least + 1e-9)
-        new = named.join(lead, "bucket").where("(at, id) > (at_, id_) AND label <> label_").where(~apart)
+        lead = rest.where(F.floor(F.col("at") * F.col("n") / 4 ** (step - 1)).between(0 if step == 1 else 1, 3))
+        lead = lead.select("gram", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "at", "label")))
+        alike = F.least("size", "size_") >= F.greatest("size", "size_") * F.lit(least) - F.lit(1e-9)
+        new = rest.join(lead, "gram").where("(at, id) > (at_, id_) AND label <> label_").where(alike)
+        rest = rest.drop("label")
         new = new.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
         new = stored(new.join(checked, ["a", "b"], "left_anti"), f"pairs-{step}")
         checked = checked.union(new)
