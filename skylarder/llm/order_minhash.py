@@ -10,8 +10,8 @@ Copies collapse to one representative first. In a bucket, all members are compar
 its most central one, so a large group costs one comparison per member and bucket. Members
 of buckets that still hold several components (unlike texts around a common line, families
 that drift) meet again by a prefix filter. At the threshold two texts have at least
-``need`` = 0.8 of the longer one's labelled shingles in common, so they share one of the
-rarest of each, all but ``need`` - 1 of them; a common line sorts last and makes no pairs.
+``need`` = 0.8 / 1.8 of their labelled shingles, counted together, in common, so they share
+one of the rarest of each, all but the last ``need`` - 1; a common line sorts last.
 Under such a shingle members of different components are compared in rounds of growing
 numbers of leaders, until it holds one component or each has met all others. So no link
 that a bucket holds between components is left out.
@@ -48,6 +48,8 @@ SAMPLED, SAMPLED_SHORT = 8, 3
 #: texts from LONG_FROM on sample the long way, texts below SHORT_TO the short way; their ratio is the threshold
 SHORT_TO, LONG_FROM = 60, 48
 MAX_WORDS = 400_000
+#: how many times as many members of a key lead in each round
+GROWTH = 16
 #: ids that are sent to every task, at most
 SENT_IDS = 1 << 20
 
@@ -262,17 +264,19 @@ def gram_rows(texts: DataFrame) -> DataFrame:
 
 
 def prefixes(rows: DataFrame, counts: DataFrame, least: float) -> DataFrame:
-    """id, size, gram: texts with ``least`` of their shingles in common share one of these.
+    """id, size, gram, place: similar texts share one of these, by place in the order of counts.
 
-    Of a text's shingles in order of their counts, all but ``need`` - 1. Those of one text
-    only come first in that order and are in no table: ``counts`` (gram, n) has n > 1.
+    Of a text's shingles all but the last ``need`` - 1. Those of one text only come first in
+    that order and are in no table: ``counts`` (gram, n) has n > 1.
     """
     text = Window.partitionBy("id", "own")
     ranked = join_counted(rows, counts, "gram", "n").withColumns(
         {"shared": F.count("*").over(text), "at": F.row_number().over(text.orderBy("n", "gram"))}
     )
     need = F.ceil(F.col("size") * F.lit(least) - F.lit(1e-9))
-    return ranked.where(F.col("at") <= F.col("shared") + 1 - need).select("id", "size", "gram")
+    return ranked.where(F.col("at") <= F.col("shared") + 1 - need).select(
+        "id", "size", "gram", (F.col("at") + F.col("size") - F.col("shared")).alias("place")
+    )
 
 
 def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -319,14 +323,16 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     share = F.pmod(F.xxhash64("gram", "id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rest, step = join_counted(keys, crowds, "gram", "n").withColumn("at", share), 0
     while True:
-        rest = stored(named(rest.where(F.col("n") > 4**step), "gram"), f"mixed-{step}")
+        rest = stored(named(rest.where(F.col("n") > GROWTH**step), "gram"), f"mixed-{step}")
         if rest.isEmpty():
             return copies.select("id", "k1", "k2", "rep"), found
         step += 1
-        # each round four times as many lead, and are compared with all that come after them
-        lead = rest.where(F.floor(F.col("at") * F.col("n") / 4 ** (step - 1)).between(0 if step == 1 else 1, 3))
-        lead = lead.select("gram", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "at", "label")))
-        alike = F.least("size", "size_") >= F.greatest("size", "size_") * F.lit(least) - F.lit(1e-9)
+        # each round more lead, and are compared with all that come after them
+        lead = rest.where(F.floor(F.col("at") * F.col("n") / GROWTH ** (step - 1)).between(0 if step == 1 else 1, GROWTH - 1))
+        lead = lead.select("gram", *(F.col(c).alias(f"{c}_") for c in ("id", "size", "place", "at", "label")))
+        # what two texts of these sizes have in common leaves so many places before it in each
+        both = F.ceil((F.col("size") + F.col("size_")) * F.lit(least / (1 + least)) - F.lit(1e-9))
+        alike = (F.col("place") + both <= F.col("size") + 1) & (F.col("place_") + both <= F.col("size_") + 1)
         new = rest.join(lead, "gram").where("(at, id) > (at_, id_) AND label <> label_").where(alike)
         rest = rest.drop("label")
         new = new.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
