@@ -6,7 +6,9 @@ they occur on each page) form an equivalence class; a vector is held as the sum
 (page, count), so classes come from one aggregation and no host is gathered anywhere.
 Classes found on most pages of a host are kept if their tokens keep one order and nest;
 together they are the host's template: elements that hold slots, and constant text. Only
-that (bounded by the size of a page) is collected per host. The main slot is the article
+that is collected per host: tokens on at least half of the pages, so at most twice as many
+as a page has on average, each of bounded length. Every token of every page counts; a path
+that grows long goes on from a hash, so deep pages stay small too. The main slot is the article
 or main element of the template or, failing that, the slot with most varying text; a
 page's text is what stands in it, without navigation, notices, adverts, forms and comments.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -30,8 +33,10 @@ from pyspark.sql import functions as F
 
 #: share of a host's pages that a template token is on
 SUPPORT = 0.5
-#: a page deeper or wider than this adds no more tokens to the template; extraction reads it whole
-PAGE_TOKENS = 20_000
+#: letters of a path; a longer one goes on from its hash, and ``outer`` says from where
+LONG_PATH = 1000
+#: tokens that a task gathers before it sends them on
+SENT_TOKENS = 200_000
 
 # Element names by their part in a page.
 STRUCTURE = frozenset("html body div section article main nav header footer aside form table td ul ol dl figure".split())
@@ -75,13 +80,30 @@ def _step(name: str, attributes: str) -> str:
     """An element's part of a path: its name and its first class or id."""
     for kind, a, b, c in _ATTRIBUTE.findall(attributes) if name in ("div", "section", "td", "ul") else ():
         if kind.lower() != "role" and (a or b or c).split():
-            return f"{name}.{(a or b or c).split()[0]}"
+            own = (a or b or c).split()[0]
+            return f"{name}.{own if len(own) <= LONG_PATH else '~' + xxhash.xxh64_hexdigest(own.encode('utf-8', 'surrogatepass'))}"
     return name
 
 
-def read_page(page: str):
+def _joined(path: str, step: str, outer: dict[str, str]) -> str:
+    """The path of an element inside ``path``; ``outer`` gets what a hash stands for."""
+    if len(path) > LONG_PATH:
+        head = f"~{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
+        outer[head] = path
+        path = head
+    return f"{path}/{step}"
+
+
+def parent_of(path: str, outer: dict[str, str]) -> str:
+    head = path.rpartition("/")[0]
+    return outer.get(head, head)
+
+
+def read_page(page: str, outer: dict[str, str] | None = None):
     """Yields ('open', path, barred) and ('text', path, barred, raw text) and ('gap',) in page order."""
+    outer = {} if outer is None else outer
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, barred, inside main
+    opened: Counter = Counter()
     at = 0
     lower = None
     while True:
@@ -98,9 +120,11 @@ def read_page(page: str):
         if name not in INLINE:
             yield "gap", "", False, ""
         if m.group(1):
-            names = [s[0] for s in stack]
-            if name in names[1:]:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
+            closed = opened[name] == 0
+            while not closed:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                closed = last == name
             continue
         _, path, barred, inside = stack[-1]
         attributes = m.group(3)
@@ -113,11 +137,12 @@ def read_page(page: str):
             continue
         barred = barred or _barred(name, attributes, inside)
         if name in STRUCTURE:
-            path = f"{path}/{_step(name, attributes)}"
+            path = _joined(path, _step(name, attributes), outer)
         yield "open", path if name in STRUCTURE else f"{path}>{name}", barred, ""
         # only elements that enclose others matter to paths; paragraphs and the like may stay unclosed
         if (name in STRUCTURE or barred) and name not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((name, path, barred, inside or name in MAIN))
+            opened[name] += 1
 
 
 def clean(raw: str) -> str:
@@ -125,10 +150,11 @@ def clean(raw: str) -> str:
 
 
 def page_tokens(page: str) -> pd.DataFrame:
-    """Tokens of a page for the template: token, how often, first place, letters of text, barred."""
+    """Tokens of a page for the template: token, how often, first place, letters of text, barred, what its path goes on from."""
     found: dict[str, list] = {}
-    for k, (kind, path, barred, raw) in enumerate(read_page(page)):
-        if kind == "gap" or (len(found) >= PAGE_TOKENS and path not in found):
+    outer: dict[str, str] = {}
+    for k, (kind, path, barred, raw) in enumerate(read_page(page, outer)):
+        if kind == "gap":
             continue
         own = found.setdefault(path, [0, k, 0, barred])
         own[0] += kind == "open"
@@ -138,7 +164,8 @@ def page_tokens(page: str) -> pd.DataFrame:
             if not barred:
                 mark = found.setdefault(f"{path}#{xxhash.xxh64_hexdigest(text)}", [0, k, len(text), False])
                 mark[0] += 1
-    return pd.DataFrame([(t, *v) for t, v in found.items()], columns=["token", "times", "place", "letters", "barred"])
+    rows = [(t, *v, outer.get(t.split("/", 1)[0])) for t, v in found.items()]
+    return pd.DataFrame(rows, columns=["token", "times", "place", "letters", "barred", "outer"])
 
 
 def _signed(values) -> np.ndarray:
@@ -149,17 +176,22 @@ def templates(pages: DataFrame) -> DataFrame:
     """One row per host: host, template (JSON: the main slot's path and constant text of the host)."""
 
     def tokens(batches):
+        columns = ["host", "token", "times", "place", "letters", "barred", "outer", "vector"]
         for batch in batches:
-            out = []
+            out, room = [], 0
             for host, key, page in zip(batch["host"], batch["page"], batch["html"]):
                 own = page_tokens(page)
                 own["vector"] = _signed([xxhash.xxh64_intdigest(f"{key}:{n}") for n in own["times"]])
                 own["host"] = host
                 out.append(own)
+                room += len(own)
+                if room > SENT_TOKENS:
+                    yield pd.concat(out)[columns]
+                    out, room = [], 0
             if out:
-                yield pd.concat(out)[["host", "token", "times", "place", "letters", "barred", "vector"]]
+                yield pd.concat(out)[columns]
 
-    schema = "host string, token string, times long, place long, letters long, barred boolean, vector long"
+    schema = "host string, token string, times long, place long, letters long, barred boolean, outer string, vector long"
     seen = pages.select("host", F.xxhash64("page_id", "url").alias("page"), "html").mapInPandas(tokens, schema)
     vectors = seen.groupBy("host", "token").agg(
         # sums of hashes wrap around by parts, so that they never overflow
@@ -171,6 +203,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.avg("place").alias("place"),
         F.sum("letters").alias("letters"),
         F.bool_and("barred").alias("barred"),
+        F.max("outer").alias("outer"),
     )
     sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     common = vectors.join(sizes, "host").where((F.col("pages") >= SUPPORT * F.col("host_pages")) & (F.col("token") != ""))
@@ -187,13 +220,33 @@ def deduce_template(tokens: pd.DataFrame) -> dict:
     classes: dict[tuple, list] = {}
     for row in tokens.itertuples():
         classes.setdefault((row.low, row.high, row.pages), []).append(row)
-    valid: list[list] = []
-    for members in classes.values():
-        paths = [m.token for m in members if "#" not in m.token and ">" not in m.token]
+    outer = {m.token.split("/", 1)[0]: m.outer for members in classes.values() for m in members if m.token.startswith("~")}
+    paths = {m.token: (k, m.place) for k, members in classes.items() for m in members if "#" not in m.token and ">" not in m.token}
+    up, children = {}, {}
+    for path in paths:
+        above = parent_of(path, outer)
+        while above and above not in paths:
+            above = parent_of(above, outer)
+        up[path] = above
+        children.setdefault(above, []).append(path)
+    # down the tree and up again; per class the places of the elements now open
+    broken, places, bottom_up = set(), {}, []
+    todo = [(path, True) for path in children.get("", ())]
+    while todo:
+        path, enters = todo.pop()
+        k, place = paths[path]
+        line = places.setdefault(k, [])
+        if not enters:
+            line.pop()
+            bottom_up.append(path)
+            continue
         # one order: an element opens before what it encloses
-        place = {m.token: m.place for m in members}
-        if all(place[p] <= place[q] for p in paths for q in paths if q.startswith(f"{p}/")):
-            valid.append(members)
+        if line and line[-1] > place:
+            broken.add(k)
+        line.append(place)
+        todo.append((path, False))
+        todo += [(below, True) for below in children.get(path, ())]
+    valid = [members for k, members in classes.items() if k not in broken]
     inside = {m.token: m for members in valid for m in members}
     slots = [m for t, m in inside.items() if "#" not in t and ">" not in t and not m.barred]
     constant = {t for t, m in inside.items() if "#" in t and m.host_pages >= 4 and m.least == m.most}
@@ -204,13 +257,41 @@ def deduce_template(tokens: pd.DataFrame) -> dict:
     varying = lambda m: m.letters - fixed.get(m.token, 0)
     named = [m for m in slots if m.token.rsplit("/", 1)[-1].split(".")[0] in MAIN]
     if named:
-        best = max(named, key=lambda m: (sum(varying(x) for x in slots if f"{x.token}/".startswith(f"{m.token}/")), m.token))
+        total = dict.fromkeys([*paths, ""], 0) | {m.token: varying(m) for m in slots}
+        for path in bottom_up:
+            total[up[path]] += total[path]
+        best = max(named, key=lambda m: (total[m.token], m.token))
         return {"main": best.token, "drop": []}
-    own = [m for m in slots if varying(m) > 0 and m.token.count("/") > 2]
+    own = [m for m in slots if varying(m) > 0 and (m.token.startswith("~") or m.token.count("/") > 2)]
     if not own:
         return {"main": "", "drop": sorted(constant)}
     best = max(own, key=lambda m: (varying(m), m.token))
-    return {"main": best.token, "drop": sorted(t for t in constant if t.startswith(best.token))}
+    inside_best = _inside(best.token, outer)
+    return {"main": best.token, "drop": sorted(t for t in constant if inside_best(t.split("#")[0]))}
+
+
+def _inside(slot: str, outer: dict[str, str]):
+    """Tells whether a path lies in a slot."""
+    known: dict[str, bool] = {}
+
+    def lies(path: str) -> bool:
+        chain = []
+        while True:
+            head = path.split("/", 1)[0]
+            if path == slot or path.startswith(f"{slot}/"):
+                found = True
+            elif head in known:
+                found = known[head]
+            elif head in outer:
+                chain.append(head)
+                path = outer[head]
+                continue
+            else:
+                found = False
+            known.update(dict.fromkeys(chain, found))
+            return found
+
+    return lies
 
 
 def main_text(page: str, template: dict) -> str:
@@ -220,10 +301,12 @@ def main_text(page: str, template: dict) -> str:
 
     def within(slot: str) -> str:
         parts: list[str] = []
-        for kind, path, barred, raw in read_page(page):
+        outer: dict[str, str] = {}
+        lies = _inside(slot, outer)
+        for kind, path, barred, raw in read_page(page, outer):
             if kind == "gap":
                 parts.append(" ")
-            elif kind == "text" and not barred and (path == slot or path.startswith(f"{slot}/")):
+            elif kind == "text" and not barred and lies(path):
                 if not drop or f"{path}#{xxhash.xxh64_hexdigest(clean(raw))}" not in drop:
                     parts.append(raw)
         return clean("".join(parts))
