@@ -4,8 +4,8 @@ Output and context symbols are classes: the end, the commonest words, each its o
 and for all other words classes of shape (letters used, length, closing mark). The model
 gives the class after the two before it; within a class a word has its smoothed share of
 the class's count. Class trigrams are counted over every training text; the parameters are
-trained with numpy on shards of those counts, noise drawn from the class frequencies, and
-averaged over the shards in every round. Because contexts are pairs of classes, one batch of
+trained with numpy on shards of those counts, each of which is met in every round with
+exactly its count, noise drawn from the class frequencies, and averaged over the shards. Because contexts are pairs of classes, one batch of
 matrix products normalises the model for all of them, and a text is scored by lookups.
 
 Word counts cover all training texts. The commonest words' counts go to the tasks; the
@@ -43,6 +43,7 @@ DIMENSION = 32
 NOISE = 32
 SHARDS = 8
 ROUNDS = 2
+#: a round of a shard has about STEPS batches, and more if it holds many rare trigrams
 STEPS = 700
 BATCH = 1024
 END = 0
@@ -212,23 +213,40 @@ def _gathered(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.bincount(places.ravel(), rows.ravel(), CLASSES * DIMENSION).reshape(CLASSES, DIMENSION)
 
 
+def visits(n: np.ndarray, batches: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which cell, weight) so that about ``batches`` batches meet every cell with exactly its count.
+
+    A cell is met once for each whole share of a batch's place, and once for what is left,
+    so weights are at most 1; there are at most ``batches`` * BATCH visits and one a cell.
+    """
+    share = n * (batches * BATCH / n.sum(dtype=float))
+    whole = np.floor(share).astype(np.int64)
+    left = share - whole
+    rest = np.flatnonzero(left > 0)
+    return np.concatenate([np.repeat(np.arange(len(n)), whole), rest]), np.concatenate([np.ones(int(whole.sum())), left[rest]])
+
+
 def train_shard(start: Parameters, cells: np.ndarray, n: np.ndarray, share: np.ndarray, rate: float, steps: int, seed: int) -> Parameters:
-    """Noise-contrastive estimation on tokens drawn by their counts: data against NOISE draws per batch, each standing for its token's share."""
+    """Noise-contrastive estimation on all counted tokens in random order: each cell weighs its count against NOISE draws per batch, each standing for its token's share."""
     rng = np.random.default_rng(seed)
     w = [x.astype(np.float32) for x in (start.before[0], start.before[1], start.target, start.bias)]
     g2 = [np.full(x.shape, 1e-8, np.float32) for x in w]
-    mass = np.cumsum(n, dtype=float)
+    which, weights = visits(n, steps)
+    order = rng.permutation(len(which))
+    which, weights = which[order], weights[order].astype(np.float32)
+    steps = -(-len(which) // BATCH)
     noise_mass = np.cumsum(share)
     log_noise = np.log(NOISE * share).astype(np.float32)
     for step in range(steps):
-        cell = cells[np.minimum(np.searchsorted(mass, rng.random(BATCH) * mass[-1]), len(cells) - 1)]
+        part = slice(step * BATCH, (step + 1) * BATCH)
+        cell, weight = cells[which[part]], weights[part]
         two, one, own = cell // (CLASSES * CLASSES), cell // CLASSES % CLASSES, cell % CLASSES
         noise = np.minimum(np.searchsorted(noise_mass, rng.random(NOISE) * noise_mass[-1]), CLASSES - 1)
         h = w[0][two] + w[1][one]
         true = (h * w[2][own]).sum(1) + w[3][own] - log_noise[own]
         false = h @ w[2][noise].T + w[3][noise] - log_noise[noise]
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # pull for the data
-        down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))  # push for the noise
+        up = weight / (1 + np.exp(np.clip(true, -30, 30)))  # pull for the data
+        down = -weight[:, None] / (1 + np.exp(np.clip(-false, -30, 30)))  # push for the noise
         back = up[:, None] * w[2][own] + down @ w[2][noise]
         grads = [_gathered(two, back), _gathered(one, back), _gathered(own, up[:, None] * h)]
         np.add.at(grads[2], noise, down.T @ h)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 
-from skylarder.llm import html_templates
+from skylarder.llm import html_templates, log_bilinear
 
 
 def test_template_counts_every_token_of_a_wide_page(spark):
@@ -51,3 +52,25 @@ def test_nesting_in_one_walk_equals_all_pairs():
         want = _deduced_plainly(tokens)
         if want:
             assert html_templates.deduce_template(tokens)["main"] == want
+
+
+def test_training_meets_every_trigram_with_its_count():
+    """A target of one trigram among a million, which draws by count and the noise both miss."""
+    size, rare = log_bilinear.CLASSES, 7
+    cells = np.array([5, rare, size * 9 + 5], np.int64)
+    n = np.array([10**6, 1, 10**4])
+    share = np.full(size, 1.0)
+    share[rare] = 1e-4
+    share /= share.sum()
+    start = log_bilinear.Parameters.start(share)
+    done = log_bilinear.train_shard(start, cells, n, share, 0.03, 20, 1)
+    assert (done.target[rare] != start.target[rare].astype(np.float32)).any()
+    assert np.isfinite(done.flat()).all()
+
+
+def test_visits_weigh_each_count_exactly():
+    n = np.concatenate([[10**12], np.arange(1, 5000)])
+    which, weights = log_bilinear.visits(n, 3)
+    got = np.bincount(which, weights, len(n))
+    assert np.allclose(got, n * (3 * log_bilinear.BATCH / n.sum()), rtol=1e-9) and (got > 0).all()
+    assert weights.max() <= 1 and len(which) <= 3 * log_bilinear.BATCH + len(n)
