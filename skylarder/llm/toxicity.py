@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +38,7 @@ FOLDS = 5
 #: characters of one lattice
 LATTICE = 40
 #: words a worker process remembers
-MAX_WORDS = 300_000
+MAX_WORDS = 100_000
 
 # Letters of the character model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâçîïôûùœñíóáúì"
@@ -272,12 +273,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int | No
     def count(batches):
         reader = Reader(costs)
         for batch in batches:
-            found = pd.DataFrame(
-                [(e, y) for text, y in zip(batch["text"], batch["label"]) for e in reader.of_text(text)],
-                columns=["entry", "label"],
-            )
-            seen = found.groupby("entry")["label"].agg(["sum", "size"]).reset_index()
-            yield pd.DataFrame({"entry": seen["entry"], "p": seen["sum"], "n": seen["size"] - seen["sum"]})
+            # counted text by text, so that a batch holds each entry once
+            seen: tuple[Counter, Counter] = Counter(), Counter()
+            for text, y in zip(batch["text"], batch["label"]):
+                seen[y].update(reader.of_text(text))
+            entry = list(seen[0] | seen[1])
+            yield pd.DataFrame({"entry": entry, "p": [seen[1][e] for e in entry], "n": [seen[0][e] for e in entry]}).astype({"p": "int64", "n": "int64"})
 
     distinct = texts.dropDuplicates(["text", "label"]).select("text", "label").persist()
     try:

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 
+import corpus_pipeline
 from skylarder.llm import html_templates, log_bilinear
 
 
@@ -74,3 +75,14 @@ def test_visits_weigh_each_count_exactly():
     got = np.bincount(which, weights, len(n))
     assert np.allclose(got, n * (3 * log_bilinear.BATCH / n.sum()), rtol=1e-9) and (got > 0).all()
     assert weights.max() <= 1 and len(which) <= 3 * log_bilinear.BATCH + len(n)
+
+
+def test_pipeline_hands_tasks_few_texts_at_a_time(spark, small_tables, monkeypatch):
+    def largest_batch(spark, docs, sf_dir):
+        many = docs.select("doc_id").crossJoin(spark.range(100)).coalesce(1)
+        return many.select("doc_id").mapInPandas(lambda batches: (b.assign(rows=len(b))[:1] for b in batches), "doc_id long, rows long")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("rows", largest_batch)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert corpus_pipeline.run(spark, small_tables).agg({"rows": "max"}).first()[0] <= corpus_pipeline.TASK_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
