@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skylarder.operators.sizing import fits, measure
 from skylarder.session import shared_dir
 
 # monotonically_increasing_id holds the partition above this bit, the row in it below
@@ -27,7 +28,8 @@ def position_within(
     many tasks as its share asks for. Only rows that are equal in key and order stay
     together, so ``order`` should be total. The sorted rows are written once under
     the shared folder, so ``df`` is evaluated once and places don't change when a
-    task runs again. What meets is one size per partition and one first row per key.
+    task runs again. What meets is one size per partition and one first row per key, which
+    is broadcast if it is small.
     ``total`` names an optional column with the size of the key.
     """
     spark = df.sparkSession
@@ -61,6 +63,9 @@ def position_within(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
     firsts = absolute(firsts, "__first", "__index_first")
+    # few keys go to the rows, so that whole rows aren't shuffled again to meet them
+    if fits(*measure(firsts)):
+        firsts = F.broadcast(firsts)
     numbered = absolute(placed, "__row", "__index").join(firsts, F.col("__slot") == F.col("__of"))
     extra = {name: F.col("__index") - F.col("__index_first")}
     if total:

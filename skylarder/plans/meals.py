@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylarder.functions.meals import clean_steps, prep_time, wide_pairs
@@ -13,16 +13,23 @@ from skylarder.operators.nesting import unnest
 from skylarder.schemas import INGREDIENTS, MEASURES
 
 
-def land_meals(shards: DataFrame, fetched_at: datetime, shard: str = "shard") -> DataFrame:
+def land_meals(shards: DataFrame, fetched_at: datetime, shard: str = "shard", seen: DataFrame | None = None) -> DataFrame:
     """Merge shards (``shard``, ``meals``) into envelopes, each meal once.
 
     The first occurrence of an id stands, by shard and place in the shard; null
-    shards and meals without an id give nothing. Each shard keeps an envelope for
-    the meals it was first with, so an envelope is no larger than its document
-    was, and declares how many it holds.
+    shards and meals without an id give nothing, nor do ids of ``seen`` (``id``). Each
+    shard keeps an envelope for the meals it was first with, so an envelope is no larger
+    than its document was, and declares how many it holds. Which occurrence is the first
+    is found from ids and places; whole meals are shuffled once, to their shard.
     """
-    arrivals = shards.select(shard, F.posexplode("meals").alias("place", "meal"))
-    once = dedup_first(arrivals.withColumn("__id", F.col("meal.idMeal")), "__id", [shard, "place"])
+    arrivals = shards.select(shard, F.posexplode("meals").alias("place", "meal")).withColumn("__id", F.col("meal.idMeal"))
+    first = dedup_first(arrivals.select("__id", shard, "place"), "__id", [shard, "place"])
+    if seen is not None:
+        first = first.join(seen, F.col("__id") == F.col("id"), "left_anti")
+    met = arrivals.unionByName(first.withColumn("__first", F.lit(True)), allowMissingColumns=True).repartition(shard)
+    # the mark of a first occurrence sorts before the meal it stands for
+    same = Window.partitionBy(shard, "place", "__id").orderBy(F.desc_nulls_last("__first"))
+    once = met.withColumn("__marked", F.lag("__first").over(same)).where("__marked")
     placed = F.array_sort(F.collect_list(F.struct("place", "meal")))
     envelopes = once.groupBy(shard).agg(F.count(F.lit(1)).alias("total_meals"), placed.alias("placed"))
     return envelopes.select(

@@ -172,14 +172,8 @@ def lake_stream(
 
         shards = landed.where("kind = 'meals' AND meals IS NOT NULL").select(F.col("file").alias("shard"), "meals")
         seen = store.read("raw_meals", RAW_MEALS).select(F.explode("meals.idMeal").alias("id")).distinct()
-        arrivals = shards.select("shard", F.posexplode("meals").alias("place", "meal"))
-        unseen = arrivals.join(seen, F.col("meal.idMeal") == F.col("id"), "left_anti")
-        # back into shards, places kept, so that the first of a batch's copies stands
-        fresh = unseen.groupBy("shard").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("place", "meal"))), lambda e: e["meal"]).alias("meals")
-        )
         sizes = {"meals_declared": F.sum("total_meals"), "meals_found": F.sum(F.size("meals"))}
-        raw_meals = save(land_meals(fresh, at), "raw_meals", **sizes)
+        raw_meals = save(land_meals(shards, at, seen=seen), "raw_meals", **sizes)
 
         responses = landed.where("response IS NOT NULL").select("response.*")
         numbered = responses.withColumn("number", F.monotonically_increasing_id())
