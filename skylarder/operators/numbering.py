@@ -41,7 +41,7 @@ def position_within(
     # dealt and sorted before the rows are counted off
     placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(*ranks)
     placed = placed.withColumn("__row", F.monotonically_increasing_id())
-    placed.write.parquet(path)
+    placed.write.parquet(path, compression="zstd")
     placed = spark.read.schema(placed.schema).parquet(path)
 
     def part(row: str) -> Column:
@@ -59,6 +59,8 @@ def position_within(
         met = rows.join(F.broadcast(starts), part(row) == F.col("__slice"))
         return met.withColumn(out, F.col("__start") + local(row)).drop("__slice", "__start")
 
+    if not keys and not total:  # all rows are of one key, whose first row is the first of all
+        return absolute(placed, "__row", name).drop("__slot", "__row")
     firsts = placed.groupBy(F.col("__slot").alias("__of")).agg(
         F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )

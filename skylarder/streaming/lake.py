@@ -85,7 +85,7 @@ class Batches:
         path = f"{self.folder(dataset)}/run={run}/batch={batch}"
         seen = Observation(f"{dataset}-{batch}")
         watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in facts.items()])
-        watched.write.mode("overwrite").parquet(path)
+        watched.write.mode("overwrite").parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path), seen.get
 
     def mark(self, run: str, batch: int, report: dict[str, object]) -> None:
@@ -173,7 +173,7 @@ def lake_stream(
         shards = landed.where("kind = 'meals' AND meals IS NOT NULL").select(F.col("file").alias("shard"), "meals")
         seen = store.read("raw_meals", RAW_MEALS).select(F.explode("meals.idMeal").alias("id")).distinct()
         sizes = {"meals_declared": F.sum("total_meals"), "meals_found": F.sum(F.size("meals"))}
-        raw_meals = save(land_meals(shards, at, seen=seen), "raw_meals", **sizes)
+        raw_meals = save(land_meals(shards, at, seen=seen, stored=True), "raw_meals", **sizes)
 
         responses = landed.where("response IS NOT NULL").select("response.*")
         numbered = responses.withColumn("number", F.monotonically_increasing_id())
@@ -197,7 +197,7 @@ def lake_stream(
         for df, dataset, doc_id in ((series, "temperature_index", None), (served, "enhanced_index", observation_id(served))):
             indexed = store.read(dataset, "doc_id string, day string")
             held = indexed.where(days_of(df)(F.col("day")))
-            docs = index_docs(df, held, doc_id)
+            docs = index_docs(df, held, doc_id, stored=True)
             save(docs.withColumn("day", F.substring("@timestamp", 1, 10)), dataset)
 
         shown = duplicate_report(series, exclude=["@timestamp"]).first()

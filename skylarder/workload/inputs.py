@@ -135,7 +135,7 @@ def land_lake(spark: SparkSession, sf_dir: str, lake) -> None:
 
     raw = raw_meals(spark, sf_dir)
     shards = renest(raw, items=raw.columns, order=[F.col("idMeal")], keys=["strCategory"], name="meals", max_items=4096)
-    shards.select(F.to_json(F.struct("meals")).alias("value")).write.option("maxRecordsPerFile", 1).text(lake.meal_shards)
+    shards.select(F.to_json(F.struct("meals")).alias("value")).write.option("maxRecordsPerFile", 1).text(lake.meal_shards, compression="gzip")
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     reading = event_temperature()
     responses = table(spark, sf_dir, "events").select(
@@ -154,11 +154,11 @@ def land_lake(spark: SparkSession, sf_dir: str, lake) -> None:
         F.lit(86_400).alias("daily_interval"),
         F.array(F.col("value") % 12).alias("daily_values"),
     )
-    responses.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(lake.responses)
+    responses.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(lake.responses, compression="gzip")
     advice(spark, sf_dir).orderBy("pos").select("temperature", "advice").write.csv(lake.advice, sep=";", header=True)
     table(spark, sf_dir, "customer").select(
         (F.col("c_custkey") % 25 * 2.0).alias("lat"),
         (F.col("c_custkey") / 4.0).alias("lon"),
         F.col("c_name").alias("city"),
         F.col("c_mktsegment").alias("country"),
-    ).write.json(lake.geo)
+    ).write.json(lake.geo, compression="gzip")
