@@ -39,6 +39,8 @@ FOLDS = 5
 LATTICE = 40
 #: words a worker process remembers
 MAX_WORDS = 100_000
+#: letters of texts whose trigrams are counted at a time, or one text
+COUNTED = 1 << 17
 
 # Letters of the character model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâçîïôûùœñíóáúì"
@@ -50,7 +52,7 @@ STANDS_FOR = {
 SIZE = 64
 _INDEX = {c: k + 1 for k, c in enumerate(LETTERS)}
 _OTHER = len(LETTERS) + 1
-_TABLE = np.zeros(0x250, np.int64)
+_TABLE = np.zeros(0x250, np.int32)
 for _c in range(0x250):
     if chr(_c).isalpha():
         _TABLE[_c] = _INDEX.get(chr(_c), _OTHER)
@@ -72,13 +74,28 @@ def held_out(id_col: Column, fold: int = 0) -> Column:
 def count_trigrams(texts: list[str]) -> np.ndarray:
     """Counts of letter trigrams inside words; place 0 stands for any non-letter."""
     raw = np.frombuffer(" ".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    seq = np.concatenate([[0, 0], np.where(raw < 0x250, _TABLE[np.minimum(raw, 0x24F)], 0), [0]])
+    pad = np.zeros(2, np.int32)
+    seq = np.concatenate([pad, np.where(raw < 0x250, _TABLE[np.minimum(raw, 0x24F)], np.int32(0)), pad[:1]])
     a, b, c = seq[:-2], seq[1:-1], seq[2:]
     inside = (b > 0) | (c > 0)
     a = np.where(b == 0, 0, a)
     return np.bincount(((a * SIZE + b) * SIZE + c)[inside], minlength=SIZE**3)
 
 
+def runs_of(texts: list[str], most: int) -> Iterator[list[str]]:
+    """The texts in turn, as many at a time as have at most ``most`` letters together, or one."""
+    part: list[str] = []
+    size = 0
+    for text in texts:
+        if part and size + len(text) > most:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def costs_of(counts: np.ndarray) -> Costs:
     """Negative log probabilities [before last, last, next], backing off to shorter contexts."""
     n = counts.reshape(SIZE, SIZE, SIZE).astype(float)
@@ -95,9 +112,8 @@ def character_model(docs: DataFrame, text_col: str = "text") -> Costs:
     def count(batches):
         total = np.zeros(SIZE**3, np.int64)
         for batch in batches:
-            texts = batch["text"].tolist()
-            for at in range(0, len(texts), 500):
-                total += count_trigrams(texts[at : at + 500])
+            for part in runs_of(batch["text"].tolist(), COUNTED):
+                total += count_trigrams(part)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"trigram": seen, "n": total[seen]})
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
 
 import corpus_pipeline
-from skylarder.llm import html_templates, log_bilinear
+from skylarder.llm import html_templates, log_bilinear, toxicity
 
 
 def test_template_counts_every_token_of_a_wide_page(spark):
@@ -86,3 +87,15 @@ def test_pipeline_hands_tasks_few_texts_at_a_time(spark, small_tables, monkeypat
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert corpus_pipeline.run(spark, small_tables).agg({"rows": "max"}).first()[0] <= corpus_pipeline.TASK_ROWS
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_trigrams_are_counted_in_bounded_memory():
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcé ß.漢", k=rng.randint(0, 4000))) for _ in range(500)] + ["", "x" * 300_000]
+    parts = list(toxicity.runs_of(texts, toxicity.COUNTED))
+    assert [t for p in parts for t in p] == texts and max(sum(map(len, p)) for p in parts if len(p) > 1) <= toxicity.COUNTED
+    tracemalloc.start()
+    got = sum(toxicity.count_trigrams(p) for p in parts[:-1])
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    tracemalloc.stop()
+    assert (got + toxicity.count_trigrams(parts[-1]) == toxicity.count_trigrams(texts)).all()
