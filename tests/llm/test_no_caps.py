@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 
 import corpus_pipeline
-from skylarder.llm import html_templates, log_bilinear, toxicity
+from skylarder.llm import compact_windows, html_templates, log_bilinear, toxicity
 
 
 def test_template_counts_every_token_of_a_wide_page(spark):
@@ -99,3 +99,18 @@ def test_trigrams_are_counted_in_bounded_memory():
     assert tracemalloc.get_traced_memory()[1] < 16 << 20
     tracemalloc.stop()
     assert (got + toxicity.count_trigrams(parts[-1]) == toxicity.count_trigrams(texts)).all()
+
+
+def test_passages_aligned_in_slices_are_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    shared = [words(70) for _ in range(6)]
+    rows = [(k, " ".join(words(30) + shared[k % 6] + words(20))) for k in range(24)] + [(100 + k, " ".join(words(90))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(compact_windows.repeats(docs).collect())
+    monkeypatch.setattr(compact_windows, "SLICE_PAIRS", 1)
+    asked, only = [], compact_windows.only
+    monkeypatch.setattr(compact_windows, "only", lambda texts, ids: asked.append({r.id for r in ids.collect()}) or only(texts, ids))
+    assert sorted(compact_windows.repeats(docs).collect()) == whole and sum(not r.kept for r in whole) == 18
+    # the 30 texts without a passage are never shuffled, and no slice has all pairs
+    assert len(set().union(*asked)) <= 24 and all(len(ids) < 24 for ids in asked) and len(asked) >= 2 * compact_windows.SLICES
