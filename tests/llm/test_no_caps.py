@@ -114,3 +114,11 @@ def test_passages_aligned_in_slices_are_the_same(spark, monkeypatch):
     assert sorted(compact_windows.repeats(docs).collect()) == whole and sum(not r.kept for r in whole) == 18
     # the 30 texts without a passage are never shuffled, and no slice has all pairs
     assert len(set().union(*asked)) <= 24 and all(len(ids) < 24 for ids in asked) and len(asked) >= 2 * compact_windows.SLICES
+
+
+def test_texts_are_cut_once_in_one_worker_a_task(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, f"{text} more words")], "doc_id long, text string")
+    left = compact_windows.drop_repeats(docs)
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, text), (3, " more words")]
