@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from skylarder.session import shared_dir
 
 
+#: hashes or decisions that are sent to every task, at most
+SENT_HASHES = 1 << 19
+
+
 def content_hash(text: Column) -> Column:
     """128 bits of the text's UTF-8 bytes."""
     return F.unhex(F.md5(text))
@@ -85,12 +89,30 @@ def exact_groups(
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", hash_fn=content_hash
 ) -> DataFrame:
-    """The rows whose document stays, with all columns of ``docs``; of repeated rows one stays."""
-    keep_row = _texts(docs, id_col, text_col, hash_fn).groupBy("__hash", "__text").agg(_chosen(keep).alias("__keep"))
-    kept = keep_row.select(F.col("__keep"), F.sha2("__text", 256).alias("__sha"))
+    """The rows whose document stays, with all columns of ``docs``; of repeated rows one stays.
+
+    Hashes alone are counted first. Rows of a hash that no other row has stay where they
+    are; texts are compared, and move, only where a hash is met again. The decisions are
+    thin, and up to SENT_HASHES of them are sent to the tasks.
+    """
+    at = shared_dir(docs.sparkSession, "exact-copies")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return docs.sparkSession.read.schema(df.schema).parquet(f"{at}/{name}")
+
+    def thin(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.limit(SENT_HASHES + 1).count() <= SENT_HASHES else df
+
     ids, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.withColumn("__keep", ids).withColumn("__sha", F.sha2(text, 256))
-    joined = rows.join(
-        kept, rows["__keep"].eqNullSafe(kept["__keep"]) & (rows["__sha"] == kept["__sha"]), "left_semi"
-    )
-    return joined.dropDuplicates(["__keep", "__sha"]).drop("__keep", "__sha")
+    rows = docs.withColumn("__keep", ids).withColumn("__hash", hash_fn(text))
+    again = thin(stored(rows.groupBy("__hash").agg(F.count("*").alias("n")).where("n > 1").select("__hash"), "again"))
+    alone = rows.join(again, "__hash", "left_anti").select(*(rows[f"`{c}`"] for c in docs.columns))
+    met = rows.join(again, "__hash", "left_semi")
+    keep_row = met.groupBy("__hash", text.alias("__text")).agg(F.min("__keep") if keep == "smallest" else F.max("__keep"))
+    kept = keep_row.toDF("__hash", "__text", "__keep").select("__keep", F.sha2("__text", 256).alias("__sha"))
+    kept = stored(kept, "kept").withColumnsRenamed({"__keep": "__id", "__sha": "__of"})
+    met = met.withColumn("__sha", F.sha2(text, 256))
+    found = met.join(thin(kept), met["__keep"].eqNullSafe(kept["__id"]) & (met["__sha"] == kept["__of"]), "left_semi")
+    once = found.dropDuplicates(["__keep", "__sha"])
+    return alone.union(once.select(*(once[f"`{c}`"] for c in docs.columns)))
