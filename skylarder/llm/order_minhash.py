@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from skylarder.llm.graph import components
 from skylarder.llm.hot import join_counted
-from skylarder.session import shared_dir
+from skylarder.session import release_shuffles, rows_at_a_time, shared_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -47,7 +47,9 @@ BANDS = 32
 SAMPLED, SAMPLED_SHORT = 8, 3
 #: texts from LONG_FROM on sample the long way, texts below SHORT_TO the short way; their ratio is the threshold
 SHORT_TO, LONG_FROM = 60, 48
-MAX_WORDS = 400_000
+MAX_WORDS = 100_000
+#: texts, or pairs of texts, that a Python task gets at a time
+TASK_ROWS = 500
 #: how many times as many members of a key lead in each round
 GROWTH = 16
 #: ids that are sent to every task, at most
@@ -281,11 +283,17 @@ def prefixes(rows: DataFrame, counts: DataFrame, least: float) -> DataFrame:
 
 def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(id, rep of its copies) for every document with an id, and (a, b) links between representatives."""
+    with rows_at_a_time(docs.sparkSession, TASK_ROWS):
+        return _links(docs, least)
+
+
+def _links(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     base = shared_dir(spark, "order-minhash")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{base}/{name}")
+        release_shuffles(spark)
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("id IS NOT NULL")
