@@ -68,6 +68,51 @@ def test_a_repeated_word_gives_few_places():
     assert len(cw.rare_places(np.full(600, 9), grams, need, cw.SPARE)) == 3
 
 
+def test_stretches_dense_in_shared_shingles_by_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = rng.integers(0, 100, 4)
+        has, wanted = [rng.random(n) < 0.88 for n in sizes], []
+        for own in has:
+            can = np.zeros(len(own), bool)
+            for lo in range(len(own)):
+                for hi in range(lo + 20, len(own) + 1):
+                    can[lo:hi] |= 9 * own[lo:hi].sum() >= 8 * (hi - lo)
+            wanted.append(can)
+        got = cw.dense(np.concatenate(has), np.repeat(np.arange(4), sizes), 20)
+        assert (got == np.concatenate(wanted)).all()
+
+
+def test_a_passage_lies_in_a_dense_stretch_of_one_text():
+    rng, met = np.random.default_rng(6), 0
+    for _ in range(200):
+        base = rng.integers(1, 1 << 32, 150)
+        a, b = (np.where(rng.random(150) < rng.choice([0.02, 0.1]), rng.integers(1, 1 << 32, 150), base).astype("<u4") for _ in range(2))
+        a, b = np.delete(a, rng.integers(0, 150, 2)), np.delete(b, rng.integers(0, 150, 3))
+        text = [np.zeros(len(x), np.int64) for x in (a, b)]
+        sides = [cw.dense(cw.maybe_held(x, t, y, u), t, 46) for x, t, y, u in ((a, text[0], b, text[1]), (b, text[1], a, text[0]))]
+        _, i, j = np.intersect1d(a, b, return_indices=True)
+        for p, q in zip(i.tolist(), j.tolist()):
+            if cw.passage(a, b, p, q, 46):
+                met += 1
+                assert sides[0][p] or sides[1][q]
+    assert met > 1000
+
+
+def test_a_drifting_family_meets_few_leaders(spark, monkeypatch):
+    """Each text has passages with some others only; leaders, drawn anew under each key, met the whole family before."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 10**9, 120)
+    texts = [" ".join(f"w{w}" for w in np.where(rng.random(120) < 0.04, rng.integers(0, 10**9, 120), base)) for _ in range(80)]
+    pairs, align = [], cw.align
+    monkeypatch.setattr(cw, "align", lambda some, *more: pairs.append(some.count()) or align(some, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = cw.repeats(docs).where("NOT kept").collect()
+    assert len({r.doc_id for r in got}) > 55 and len(pairs) > 3
+    # the texts that the first round of leaders settles don't meet the whole family
+    assert pairs[2] < 600 and sum(pairs) < 4200
+
+
 def test_near_copies_go_to_python_few_at_a_time(spark, monkeypatch):
     conf, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
     stage = order_minhash.sketches
